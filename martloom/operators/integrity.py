@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.dates import as_col
-from martloom.operators.rules import Check, column_name
+from martloom.operators.rules import ALIVE, Check, column_name
 from martloom.session import broadcast_if_small, stage
 
 # The reasons written to the reject stream.
@@ -49,8 +49,9 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def mark_repeated(df: DataFrame, keys: Sequence[str], marker: str = "_repeated") -> DataFrame:
-    """Flag every row whose key occurs more than once."""
-    found = stage(repeated_keys(df, keys), "repeated-keys")
+    """Flag every row whose key occurs more than once (among live rows, inside a rule chain)."""
+    counted = df.where(ALIVE) if ALIVE in df.columns else df
+    found = stage(repeated_keys(counted, keys), "repeated-keys")
     return mark_matches(df, found, [(k, k) for k in keys], marker)
 
 
