@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import rollups
+from workload import quality, rollups
 
-_MODULES = (rollups,)
+_MODULES = (rollups, quality)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
