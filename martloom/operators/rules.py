@@ -1,10 +1,9 @@
 """Per-column quality rules evaluated in one pass.
 
-A rule set becomes an ordered list of :class:`Check` objects. ``tag`` walks the
-list once and adds two columns to the frame: whether the row survives, and an
-array with one snapshot per failed check (the row as that check saw it, plus the
-reason). Survivors, rejects and audit counts are then three cheap readings of one
-tagged frame, instead of one scan per rule.
+A rule set becomes an ordered list of :class:`Check` objects. ``outcomes`` walks the
+list once and turns each input row into the rows it causes: one per failed check
+(the row as that check saw it, plus the reason) and one if it stays. Survivors,
+rejects and audit counts are then readings of one frame, instead of one scan per rule.
 
 A check that is not told to reject still reports: the row appears among the
 rejects *and* stays among the survivors.
@@ -19,13 +18,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martloom.functions.dates import TEXT_FORMAT, as_col, date_part_text, parse_date_exact, reformat_date
 from martloom.functions.text import is_blank, lead_minus, round_half_up_text, strip_chars
 
 ALIVE = "_alive"
-FAILED = "_failed"
+CLEAN = "_clean"
+FIRST = "_first"
 REASON = "Rejection_Reason"
 
 # The reasons written to the reject stream.
@@ -252,44 +251,52 @@ def rule_checks(
 # --- evaluation -------------------------------------------------------------------
 
 
-def tag(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """``df`` after all rewrites, plus ``_alive`` and the array ``_failed``."""
+def outcomes(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Everything the checks say about ``df``, as rows of one plan.
+
+    One row per failed check (the row as that check saw it, with the reason) and one
+    per row that stays (after all rewrites, reason NULL). ``_first`` is true on
+    exactly one outcome of each input row, so rows can be counted as well.
+    """
     columns = df.columns
-    fields = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
-    snapshot = T.StructType([*fields, T.StructField(REASON, T.StringType(), True)])
-    out = df.withColumn(ALIVE, F.lit(True))
+    out = df.withColumns({ALIVE: F.lit(True), CLEAN: F.lit(True)})
     slots = []
+
+    def seen(reason: Column) -> Column:
+        return F.struct(F.col(CLEAN).alias(FIRST), *[as_col(c) for c in columns], reason.alias(REASON))
+
     for i, check in enumerate(checks):
         if check.attach is not None:
             out = check.attach(out)
-        seen = F.struct(*[as_col(c) for c in columns], F.lit(check.reason).alias(REASON))
         slot, passed = f"_fail{i}", f"_ok{i}"
-        slots.append(slot)
+        slots.append(F.col(slot))
         out = out.withColumn(passed, F.coalesce(check.ok, F.lit(False)))
-        out = out.withColumn(slot, F.when(F.col(ALIVE) & ~F.col(passed), seen).cast(snapshot))
+        out = out.withColumn(slot, F.when(F.col(ALIVE) & ~F.col(passed), seen(F.lit(check.reason))))
         if check.rewrite:
             out = out.withColumns(dict(check.rewrite))
+        out = out.withColumn(CLEAN, F.col(CLEAN) & F.col(passed))
         if check.reject:
             stays = F.col(passed) if check.keep is None else F.coalesce(check.keep, F.lit(False))
             out = out.withColumn(ALIVE, F.col(ALIVE) & stays)
         out = out.drop(passed, *check.helpers)
-    failed = F.array_compact(F.array(*[F.col(s) for s in slots])) if slots else F.array().cast(T.ArrayType(snapshot))
-    return out.select(*[as_col(c) for c in columns], F.col(ALIVE), failed.alias(FAILED))
+    kept = F.when(F.col(ALIVE), seen(F.lit(None).cast("string")))
+    # exploding keeps later filters above the chain, so no rule is evaluated twice
+    spread = out.select(F.explode(F.array(*slots, kept)).alias("_r"))
+    return spread.where("_r IS NOT NULL").select("_r.*")
 
 
-def survivors(tagged: DataFrame) -> DataFrame:
-    return tagged.where(ALIVE).drop(ALIVE, FAILED)
+def survivors(found: DataFrame) -> DataFrame:
+    return found.where(as_col(REASON).isNull()).drop(FIRST, REASON)
 
 
-def rejects(tagged: DataFrame) -> DataFrame:
-    """One row per failed check: the row as that check saw it, and the reason."""
-    return tagged.where(F.size(FAILED) > 0).select(F.explode(FAILED).alias("_r")).select("_r.*")
+def rejects(found: DataFrame) -> DataFrame:
+    return found.where(as_col(REASON).isNotNull()).drop(FIRST)
 
 
 def apply_checks(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, DataFrame]:
-    """(survivors, rejects) as two readings of one lazy tagged plan."""
-    tagged = tag(df, checks)
-    return survivors(tagged), rejects(tagged)
+    """(survivors, rejects) as two lazy readings of the outcomes."""
+    found = outcomes(df, checks)
+    return survivors(found), rejects(found)
 
 
 # --- rewriting operators outside the reject flow --------------------------------------

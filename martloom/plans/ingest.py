@@ -1,4 +1,4 @@
-"""Landing files to the harmonised lake: one tagged pass, four outputs.
+"""Landing files to the harmonised lake: one pass over the data, four outputs.
 
 Per run of files the landing data is parsed and checked once and written as a
 staged table in the checkpoint folder. Good rows, rejects, the key registry and
@@ -18,18 +18,18 @@ from pyspark.sql import functions as F
 from martloom.functions.dates import TEXT_FORMAT
 from martloom.operators.integrity import STAMP, duplicate_check, merge_registry, parse_reference, reference_check
 from martloom.operators.rules import (
-    ALIVE,
-    FAILED,
+    FIRST,
+    REASON,
     Check,
     column_name,
     derive_columns,
     harmonise_check,
     not_null_check,
+    outcomes,
     parse_rules,
     rejects,
     rule_checks,
     survivors,
-    tag,
 )
 from martloom.session import stage
 from martloom.sinks.writers import append_run, write_table
@@ -165,12 +165,12 @@ def build_checks(spark: SparkSession, config: IngestConfig) -> list[Check]:
     return checks
 
 
-def audit_counts(tagged: DataFrame) -> DataFrame:
-    """Rows in, reject rows and rows out per file, in one aggregate."""
-    return tagged.groupBy(FILE).agg(
-        F.count("*").alias("InputRowCount"),
-        F.sum(F.size(FAILED)).cast("bigint").alias("RejectedRowCount"),
-        F.count_if(F.col(ALIVE)).alias("OutputRowCount"),
+def audit_counts(found: DataFrame) -> DataFrame:
+    """Rows in, reject rows and rows out per file, in one aggregate over the outcomes."""
+    return found.groupBy(FILE).agg(
+        F.count_if(F.col(FIRST)).alias("InputRowCount"),
+        F.count(REASON).alias("RejectedRowCount"),
+        F.count_if(F.col(REASON).isNull()).alias("OutputRowCount"),
     )
 
 
@@ -239,13 +239,13 @@ def ingest(spark: SparkSession, config: IngestConfig, run_date: str, start: int
         landing = read_landing(
             spark, [f.path for f in run], config.columns, config.header, config.delimiter, str(start) if config.stamp else None
         )
-        tagged = stage(tag(landing, checks), f"tagged-{config.dataset}")
-        rows, partitions = derive_columns(survivors(tagged).drop(FILE), config.derive)
+        found = stage(outcomes(landing, checks), f"outcomes-{config.dataset}")
+        rows, partitions = derive_columns(survivors(found).drop(FILE), config.derive)
         if config.registry_keys and config.registry_path:
             update_registry(spark, rows, config.registry_keys, f"{config.registry_path}/{config.dataset}")
         write_table(rows, config.lake_path, partitions, mode, config.fmt, config.single_file)
-        append_run(rejects(tagged), f"{config.error_path}/records", run_date)
-        audits.append(audit_rows(spark, config, run, audit_counts(tagged), start))
+        append_run(rejects(found), f"{config.error_path}/records", run_date)
+        audits.append(audit_rows(spark, config, run, audit_counts(found), start))
     if not audits:
         return spark.createDataFrame([], AUDIT_SCHEMA)
     audit = stage(reduce(DataFrame.unionByName, audits), "audit")

@@ -29,12 +29,12 @@ from martloom.operators.rules import (
     integer_check,
     length_check,
     not_null_check,
+    outcomes,
     parse_rules,
     rejects,
     remove_characters,
     rule_checks,
     survivors,
-    tag,
 )
 from martloom.functions.dates import reformat_date, reformat_date_loose, text_to_key
 from martloom.functions.text import lead_minus
@@ -43,15 +43,11 @@ from martloom.sources.landing import FILE
 from workload.common import table
 
 
-def outcome(good: DataFrame, bad: DataFrame) -> DataFrame:
-    """Survivors and rejects in one frame."""
-    kept = good.select(F.lit("KEPT").alias("outcome"), "*", F.lit("").alias("reason"))
-    refused = bad.select(F.lit("REJECTED").alias("outcome"), *good.columns, F.col(REASON).alias("reason"))
-    return kept.unionByName(refused)
-
-
 def checked(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    return outcome(*apply_checks(df, checks))
+    """Survivors and rejects in one frame."""
+    found = outcomes(df, checks)
+    label = F.when(F.col(REASON).isNull(), "KEPT").otherwise("REJECTED")
+    return found.select(label.alias("outcome"), *df.columns, F.coalesce(REASON, F.lit("")).alias("reason"))
 
 
 # --- length -------------------------------------------------------------------------
@@ -369,7 +365,7 @@ KEY_REGISTRY_SQL = """SELECT user_id, event_type, max(strftime(ts, '%Y%m%d%H%M%S
 CHAIN_RULES = "flag-VARCHAR(1)|amount-DECIMAL(7,2)|day#DATE(yyyyMMdd,true)|pieces-INT"
 
 
-def _chain_tagged(spark: SparkSession, sf_dir: str, reject: bool) -> DataFrame:
+def _chain(spark: SparkSession, sf_dir: str, reject: bool) -> DataFrame:
     dirty = """CASE WHEN l_orderkey % 10 = 0 THEN 'bad' WHEN l_orderkey % 10 = 1 THEN '0'
         ELSE date_format(l_shipdate, 'yyyyMMdd') END"""
     lines = table(spark, sf_dir, "lineitem").selectExpr(
@@ -381,25 +377,25 @@ def _chain_tagged(spark: SparkSession, sf_dir: str, reject: bool) -> DataFrame:
         f"concat('file_', l_linestatus, '.csv') AS {FILE}",
     )
     flags = dict.fromkeys(("length", "decimal", "date", "integer"), reject)
-    return tag(lines, rule_checks(parse_rules(CHAIN_RULES), lines.columns, flags))
+    return outcomes(lines, rule_checks(parse_rules(CHAIN_RULES), lines.columns, flags))
 
 
 def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejects(_chain_tagged(spark, sf_dir, True)).select("order_no", "flag", "amount", "day", "pieces", F.col(REASON).alias("reason"))
+    return rejects(_chain(spark, sf_dir, True)).select("order_no", "flag", "amount", "day", "pieces", F.col(REASON).alias("reason"))
 
 
 def dq_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return survivors(_chain_tagged(spark, sf_dir, True)).drop(FILE)
+    return survivors(_chain(spark, sf_dir, True)).drop(FILE)
 
 
 def dq_report_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nothing is rejected: every failing rule reports, rewrites still apply."""
-    rows = rejects(_chain_tagged(spark, sf_dir, False))
+    rows = rejects(_chain(spark, sf_dir, False))
     return rows.select("order_no", "flag", "amount", "day", "pieces", F.col(REASON).alias("reason"))
 
 
 def dq_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit_counts(_chain_tagged(spark, sf_dir, True)).toDF("input_file", "rows_in", "rows_rejected", "rows_out")
+    return audit_counts(_chain(spark, sf_dir, True)).toDF("input_file", "rows_in", "rows_rejected", "rows_out")
 
 
 _CHAIN_SQL = f"""d AS (SELECT CAST(l_orderkey AS VARCHAR) AS order_no,
