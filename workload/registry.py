@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import members, quality, rollups
+from workload import facts, members, quality, rollups
 
-_MODULES = (rollups, quality, members)
+_MODULES = (rollups, quality, members, facts)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
