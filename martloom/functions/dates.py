@@ -19,9 +19,21 @@ def as_col(value: Column | str) -> Column:
     return F.col(f"`{value}`") if isinstance(value, str) else value
 
 
+# Fixed value: a two-digit year lies at most this many years ahead of today.
+YEARS_AHEAD = 20
+
+
 def parse_date(value: Column | str, fmt: str) -> Column:
-    """Date or NULL; no look at the length (``d/M/yyyy`` takes ``1/1/2016``)."""
-    return F.try_to_date(as_col(value), fmt)
+    """Date or NULL; no look at the length (``d/M/yyyy`` takes ``1/1/2016``).
+
+    Two-digit years fall into the hundred years that end ``YEARS_AHEAD`` years from
+    today, where the parser alone would put all of them after 2000.
+    """
+    parsed = F.try_to_date(as_col(value), fmt)
+    if "yy" not in fmt.replace("yyyy", ""):
+        return parsed
+    limit = F.add_months(F.current_date(), 12 * YEARS_AHEAD)
+    return F.when(parsed >= limit, F.add_months(parsed, -1200)).otherwise(parsed)
 
 
 def parse_date_exact(value: Column | str, fmt: str) -> Column:
