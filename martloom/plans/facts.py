@@ -213,70 +213,91 @@ class FinanceRules:
     special_channels: tuple[str, ...] = ("ST", "OH")
 
 
-def finance_measures(rules: FinanceRules) -> dict[str, Column]:
-    """The derived measures as named columns over the raw amounts.
-
-    Inputs: gross, distribution, memo_discount, unit_adjustment, turnover_adjustment,
-    net_volume, sales_quantity, volume_a, volume_b, billing_type, cost_element,
-    record_type, channel, basepack_class and the flags billing_included,
-    company_excluded, pack_excluded. A billing type outside the memo list counts as
-    regular and is labelled ``Y``.
+# Raw amounts of a finance record.
+FINANCE_AMOUNTS = (
+    "gross", "distribution", "memo_discount", "unit_adjustment", "turnover_adjustment", "net_volume", "sales_quantity",
+    "volume_a", "volume_b",
+)
+FINANCE_MEASURES = (
+    "cigs_volume", "gsv_dist", "gsv_3p", "gross_gsv", "vol_w_memo_wo_pogo", "gsv_w_memo_wo_pogo", "vol_wo_memo_wo_pogo",
+    "gsv_wo_memo_wo_pogo", "vol_eaches_w_memo_wo_pogo", "vol_eaches_wo_memo_wo_pogo", "pogo", "memo", "cd_total_gsv",
+    "memo_cd_gsv", "noncd_total_gsv", "excluded_bp_cd_gsv", "fin_item_gsv", "st_oh", "non_h_comp_code", "inv_bill_type",
+    "gsv_wo_memo_w_pogo", "vol_wo_memo_w_pogo", "vol_eaches_wo_memo_w_pogo",
+)
+
+
+def add_finance_measures(df: DataFrame, rules: FinanceRules) -> DataFrame:
+    """Append the derived measures, layer by layer so that each text is cast once.
+
+    Inputs: the finance amounts as text, billing_type, cost_element, record_type,
+    channel, basepack_class and the flags billing_included, company_excluded,
+    pack_excluded. A billing type outside the memo list counts as regular and is
+    labelled ``Y``.
     """
     zero = F.lit(0).cast(AMOUNT)
-    base = amount("gross") - amount("distribution") - amount("memo_discount")
-    third_party = base + amount("unit_adjustment")
-    with_memo = base - amount("unit_adjustment") + amount("turnover_adjustment")
-    regular = ~F.col("billing_type").isin(*rules.memo_billing_types)
     element = F.col("cost_element")
+    texts = dict.fromkeys((*FINANCE_AMOUNTS, *rules.pogo_sources.values(), "cost_element"))
+    out = df.withColumns({f"_{c}": amount(c) for c in texts})
+
     pogo = F.when(element.isNull(), zero)
     for code, source in rules.pogo_sources.items():
-        pogo = pogo.when(element == code, amount(source))
-    pogo = pogo.otherwise(amount(element))
-
-    def regular_only(value: Column) -> Column:
-        return F.when(regular, value).otherwise(zero)
+        pogo = pogo.when(element == code, F.col(f"_{source}"))
+    base = F.col("_gross") - F.col("_distribution") - F.col("_memo_discount")
+    out = out.withColumns(
+        {
+            "gsv_3p": base + F.col("_unit_adjustment"),
+            "gsv_w_memo_wo_pogo": base - F.col("_unit_adjustment") + F.col("_turnover_adjustment"),
+            "pogo": pogo.otherwise(F.col("_cost_element")),
+            "_regular": F.coalesce(~F.col("billing_type").isin(*rules.memo_billing_types), F.lit(False)),
+        }
+    )
 
     def given(condition: Column, value: Column) -> Column:
         return F.when(condition, value).otherwise(zero)
 
-    without_memo = regular_only(with_memo)
-    volume_regular = regular_only(amount("net_volume"))
-    eaches_regular = regular_only(amount("sales_quantity"))
+    regular = F.col("_regular")
+    out = out.withColumns(
+        {
+            "cigs_volume": F.col("_volume_a") + F.col("_volume_b"),
+            "gsv_dist": F.col("_distribution"),
+            "gross_gsv": F.col("gsv_3p") + F.col("_turnover_adjustment"),
+            "vol_w_memo_wo_pogo": F.col("_net_volume"),
+            "vol_eaches_w_memo_wo_pogo": F.col("_sales_quantity"),
+            "gsv_wo_memo_wo_pogo": given(regular, F.col("gsv_w_memo_wo_pogo")),
+            "vol_wo_memo_wo_pogo": given(regular, F.col("_net_volume")),
+            "vol_eaches_wo_memo_wo_pogo": given(regular, F.col("_sales_quantity")),
+            "memo": F.when(regular, "Y").otherwise("N"),
+        }
+    )
+    out = out.withColumns(
+        {
+            "gsv_wo_memo_w_pogo": F.col("gsv_wo_memo_wo_pogo") + F.col("pogo"),
+            "vol_wo_memo_w_pogo": F.col("vol_wo_memo_wo_pogo") + F.col("pogo"),
+            "vol_eaches_wo_memo_w_pogo": F.col("vol_eaches_wo_memo_wo_pogo") + F.col("pogo"),
+            "_with_pogo": F.col("gsv_w_memo_wo_pogo") + F.col("pogo"),
+        }
+    )
+    without, with_memo = F.col("gsv_wo_memo_w_pogo"), F.col("_with_pogo")
     core = F.col("basepack_class") == rules.core_class
     other = F.col("basepack_class") == rules.other_class
     billed, pack_out, company_out = F.col("billing_included"), F.col("pack_excluded"), F.col("company_excluded")
     not_barred = F.col("channel") != rules.barred_channel
-    return {
-        "cigs_volume": amount("volume_a") + amount("volume_b"),
-        "gsv_dist": amount("distribution"),
-        "gsv_3p": third_party,
-        "gross_gsv": third_party + amount("turnover_adjustment"),
-        "vol_w_memo_wo_pogo": amount("net_volume"),
-        "gsv_w_memo_wo_pogo": with_memo,
-        "vol_wo_memo_wo_pogo": volume_regular,
-        "gsv_wo_memo_wo_pogo": without_memo,
-        "vol_eaches_w_memo_wo_pogo": amount("sales_quantity"),
-        "vol_eaches_wo_memo_wo_pogo": eaches_regular,
-        "pogo": pogo,
-        "memo": F.when(regular, "Y").otherwise("N"),
-        "cd_total_gsv": given(core & billed, without_memo + pogo),
-        "memo_cd_gsv": given(core & billed, with_memo + pogo),
-        "noncd_total_gsv": given(other & company_out, with_memo + pogo),
-        "excluded_bp_cd_gsv": given(pack_out, without_memo + pogo),
-        "fin_item_gsv": given(
-            pack_out & ~company_out & F.col("record_type").isin(*rules.direct_record_types) & not_barred,
-            without_memo + pogo,
-        ),
-        "st_oh": given(~company_out & F.col("channel").isin(*rules.special_channels), without_memo + pogo),
-        "non_h_comp_code": given(
-            pack_out & ~company_out & (F.col("record_type") == rules.other_record_type) & not_barred,
-            without_memo + pogo,
-        ),
-        "inv_bill_type": given(other, pogo),
-        "gsv_wo_memo_w_pogo": without_memo + pogo,
-        "vol_wo_memo_w_pogo": volume_regular + pogo,
-        "vol_eaches_wo_memo_w_pogo": eaches_regular + pogo,
-    }
+    direct = F.col("record_type").isin(*rules.direct_record_types)
+    out = out.withColumns(
+        {
+            "cd_total_gsv": given(core & billed, without),
+            "memo_cd_gsv": given(core & billed, with_memo),
+            "noncd_total_gsv": given(other & company_out, with_memo),
+            "excluded_bp_cd_gsv": given(pack_out, without),
+            "fin_item_gsv": given(pack_out & ~company_out & direct & not_barred, without),
+            "st_oh": given(~company_out & F.col("channel").isin(*rules.special_channels), without),
+            "non_h_comp_code": given(
+                pack_out & ~company_out & (F.col("record_type") == rules.other_record_type) & not_barred, without
+            ),
+            "inv_bill_type": given(other, F.col("pogo")),
+        }
+    )
+    return out.select(*[as_col(c) for c in df.columns], *FINANCE_MEASURES)
 
 
 def build_finance_fact(
@@ -293,7 +314,7 @@ def build_finance_fact(
 ) -> DataFrame:
     """Finance actuals with every derived measure.
 
-    ``actuals``: the inputs of :func:`finance_measures` plus material, pack, company,
+    ``actuals``: the inputs of :func:`add_finance_measures` plus material, pack, company,
     customer, country, currency and posting_date (key text). The three lists are
     one-column frames.
     """
@@ -307,11 +328,12 @@ def build_finance_fact(
         ("billing_included", included_billing, "billing_type"),
     ):
         out = flag_member(out, members, column, members.columns[0], name)
+    out = add_finance_measures(out, rules or FinanceRules())
     product, customer = product_key("material"), customer_key("customer")
     return out.select(
         *[as_col(c) for c in keep],
         "billing_type",
-        *[c.alias(n) for n, c in finance_measures(rules or FinanceRules()).items()],
+        *FINANCE_MEASURES,
         "time_key",
         product.alias("product_key"),
         customer.alias("customer_key"),
