@@ -30,6 +30,17 @@ def strip_chars(value: Column | str, chars: str) -> Column:
     return F.regexp_replace(as_col(value), f"[{chars}]", "")
 
 
+# What a number can begin with. Testing it first spares a thrown exception per
+# unparsable value, which costs far more than the parsing itself.
+NUMBER_START = r"^\s*[+-]?(?:\d|\.\d|NaN|Infinity)"
+
+
+def guarded_cast(value: Column | str, data_type: str) -> Column:
+    """``try_cast`` of text that may often be no number at all."""
+    c = as_col(value)
+    return F.when(c.rlike(NUMBER_START), c.try_cast(data_type))
+
+
 def try_decimal(value: Column | str, precision: int = 38, scale: int = 6) -> Column:
     """Decimal or NULL, whatever the input type."""
     return as_col(value).try_cast(f"decimal({precision},{scale})")
@@ -38,7 +49,7 @@ def try_decimal(value: Column | str, precision: int = 38, scale: int = 6) -> Col
 def round_half_up_text(value: Column | str, scale: int) -> Column:
     """Text rounded half up to ``scale`` with zeros padded; unparsed text is unchanged."""
     c = as_col(value)
-    number = lead_minus(F.trim(c)).try_cast(f"decimal(38,{scale})")
+    number = guarded_cast(lead_minus(F.trim(c)), f"decimal(38,{scale})")
     return F.coalesce(number.cast("string"), c)
 
 

@@ -203,7 +203,7 @@ def _summed_grains(
     sums = [F.sum(as_col(m)).alias(m) for m in names]
     facts = fact.select(*key_cols, _day(fact, date_col, date_format).alias("_unit"), *[c.alias(m) for m, c in cast.items()])
     # the bridges hold at most one row per calendar row, so its length bounds them all
-    small = calendar.select("date").limit(MAX_CALENDAR_ROWS + 1).count() <= MAX_CALENDAR_ROWS
+    small = calendar.count() <= MAX_CALENDAR_ROWS
     hint = F.broadcast if small else (lambda df: df)
     day_month = hint(calendar.select(F.col("date").alias("_unit"), F.col("first_day_month").alias("_month")).distinct())
 
@@ -215,7 +215,7 @@ def _summed_grains(
     else:
         totals = facts
     totals = totals.groupBy(*key_cols, "_unit").agg(*sums)
-    totals = totals.repartition(*key_cols) if keys else totals.coalesce(1)
+    totals = totals.repartition(*key_cols) if keys else totals.repartition(1)
 
     parts = []
     if daily:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.dates import TEXT_FORMAT, as_col, date_part_text, parse_date_exact, reformat_date
-from martloom.functions.text import is_blank, lead_minus, round_half_up_text, strip_chars
+from martloom.functions.text import guarded_cast, is_blank, lead_minus, round_half_up_text, strip_chars
 
 ALIVE = "_alive"
 CLEAN = "_clean"
@@ -141,7 +141,7 @@ def decimal_ok(value: Column | str, precision: int, scale: int) -> Column:
     number = lead_minus(F.trim(c))
     whole = F.substring_index(number, ".", 1)
     room = F.lit(precision - scale) + F.when(number.startswith("-"), 1).otherwise(0)
-    return is_blank(c) | F.coalesce(number.try_cast("double").isNotNull() & (F.length(whole) <= room), F.lit(False))
+    return is_blank(c) | F.coalesce(guarded_cast(number, "double").isNotNull() & (F.length(whole) <= room), F.lit(False))
 
 
 def date_ok(value: Column | str, fmt: str, nullable: bool) -> Column:

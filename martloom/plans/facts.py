@@ -19,6 +19,7 @@ from martloom.functions.text import (
     ORDER_LINE_WIDTH,
     combination_code,
     customer_key,
+    guarded_cast,
     pad_key,
     product_key,
     try_decimal,
@@ -236,8 +237,9 @@ def add_finance_measures(df: DataFrame, rules: FinanceRules) -> DataFrame:
     """
     zero = F.lit(0).cast(AMOUNT)
     element = F.col("cost_element")
-    texts = dict.fromkeys((*FINANCE_AMOUNTS, *rules.pogo_sources.values(), "cost_element"))
-    out = df.withColumns({f"_{c}": amount(c) for c in texts})
+    texts = dict.fromkeys((*FINANCE_AMOUNTS, *rules.pogo_sources.values()))
+    codes = {"_cost_element": guarded_cast("cost_element", AMOUNT)}
+    out = df.withColumns({f"_{c}": amount(c) for c in texts} | codes)
 
     pogo = F.when(element.isNull(), zero)
     for code, source in rules.pogo_sources.items():
@@ -318,8 +320,10 @@ def build_finance_fact(
     customer, country, currency and posting_date (key text). The three lists are
     one-column frames.
     """
-    out = _time_key(actuals, calendar, "posting_date")
-    out = lookup(out, products, {"product_key": product_key("material")}, ["basepack_class"])
+    out = actuals.withColumns({"product_key": product_key("material"), "customer_key": customer_key("customer")})
+    out = out.withColumn("dim_combination", combination_code("product_key", "customer_key")).drop("material", "customer")
+    out = _time_key(out, calendar, "posting_date").drop("posting_date")
+    out = lookup(out, products, ["product_key"], ["basepack_class"])
     out = lookup(out, countries, {"country_name": "country"}, ["country_key"])
     out = lookup(out, currencies, {"currency_name": "currency"}, ["currency_key"])
     for name, members, column in (
@@ -329,18 +333,17 @@ def build_finance_fact(
     ):
         out = flag_member(out, members, column, members.columns[0], name)
     out = add_finance_measures(out, rules or FinanceRules())
-    product, customer = product_key("material"), customer_key("customer")
     return out.select(
         *[as_col(c) for c in keep],
         "billing_type",
         *FINANCE_MEASURES,
         "time_key",
-        product.alias("product_key"),
-        customer.alias("customer_key"),
+        "product_key",
+        "customer_key",
         "country_key",
         "currency_key",
         F.lit("").alias("uom_key"),
-        combination_code(product, customer).alias("dim_combination"),
+        "dim_combination",
     )
 
 

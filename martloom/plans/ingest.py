@@ -88,7 +88,7 @@ class IngestConfig:
 
     @classmethod
     def from_map(cls, settings: Mapping[str, str], dataset: str, base_path: str = "") -> IngestConfig:
-        """From configuration keys; the process class decides on stamps, duplicates and file choice.
+        """From the fixed configuration keys; the process class decides on stamps, duplicates and file choice.
 
         ``Mapping`` datasets check duplicates, carry no stamp and take the first file.
         ``Transaction`` datasets are stamped, derive partition columns, keep a key

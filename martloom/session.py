@@ -66,9 +66,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Measure a join side: rows and text bytes, reading at most ``max_rows + 1`` rows."""
+    """Measure a join side: rows and text bytes, as one aggregate with map-side combine."""
     width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(8))
-    row = df.select(width.alias("w")).limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum("w").alias("b")).first()
+    row = df.select(width.alias("w")).agg(F.count("*").alias("n"), F.sum("w").alias("b")).first()
     return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 

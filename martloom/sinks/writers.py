@@ -33,7 +33,8 @@ def write_table(
     dimensions, ``files`` fixes the number of output tasks.
     """
     if single_file:
-        df = df.coalesce(1)
+        # a shuffle, so that the work before the write keeps its parallelism
+        df = df.repartition(1)
     elif files is not None:
         df = df.repartition(files)
     elif partition_by:

@@ -172,7 +172,7 @@ def _write_config(spark: SparkSession, path: str, config: dict) -> None:
     spark.createDataFrame([(json.dumps(config),)], "value string").coalesce(1).write.text(path)
 
 
-def config_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def config_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """READ, QUERY and WRITE steps from a JSON configuration, result read back."""
     root = _fresh(spark, "pipeline")
     _land(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), root, "orders")
@@ -189,7 +189,7 @@ def config_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("c_mktsegment", F.col("n").cast("bigint").alias("n"), F.col("total").cast("double").alias("total"))
 
 
-CONFIG_PIPELINE_SQL = """SELECT c_mktsegment, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(19,2))) AS DOUBLE) AS total
+CONFIG_STEPS_SQL = """SELECT c_mktsegment, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(19,2))) AS DOUBLE) AS total
     FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL"""
 
 
@@ -236,7 +236,7 @@ QUERIES = {
     "ingest_restatement": ingest_restatement,
     "partition_replace": partition_replace,
     "grain_layout": grain_layout,
-    "config_pipeline": config_pipeline,
+    "config_steps": config_steps,
     "query_set": query_set,
     "stream_ingest": stream_ingest,
 }
@@ -249,7 +249,7 @@ ORACLE = {
     "ingest_restatement": RESTATEMENT_SQL,
     "partition_replace": PARTITION_REPLACE_SQL,
     "grain_layout": GRAIN_LAYOUT_SQL,
-    "config_pipeline": CONFIG_PIPELINE_SQL,
+    "config_steps": CONFIG_STEPS_SQL,
     "query_set": QUERY_SET_SQL,
     "stream_ingest": STREAM_SQL,
 }
