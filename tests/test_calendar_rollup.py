@@ -23,6 +23,7 @@ from martloom.plans.calendar import (
     deliver_calendar,
     trading_periods_from_text,
 )
+from martloom.session import stage
 
 
 def span(spark, first, last):
@@ -171,6 +172,16 @@ def test_fact_moves_in_two_exchanges(spark, calendar, tmp_path):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_mixed_grains_scan_the_fact_once(spark, calendar, tmp_path):
+    path = str(tmp_path / "facts")
+    spark.range(100).selectExpr("id % 7 AS k", "date'2017-01-01' + cast(id as int) AS d", "id AS v").write.parquet(path)
+    # a stored calendar: the plan text of a cached one holds plans of its own
+    out = period_rollup(spark.read.parquet(path), stage(calendar, "cal"), ["k"], {"v": "bigint"}, "d", list(GRAINS))
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet [k") == 1 and final.count("ReusedExchange [k") == 1
+
+
 def test_period_type_ids_and_stamp(spark):
     rolled = spark.createDataFrame([("MTD", 1), ("ODD", 2)], "timeperiod_type string, v int")
     types = spark.createDataFrame([("Mtd", "7"), ("Mtd", "7")], "timeperiod_type string, timeperiod_type_id string")
