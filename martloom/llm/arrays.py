@@ -20,6 +20,8 @@ PIECE = 1 << 20
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[32, 9, 10, 11, 12, 13]] = True
+# for words of letters, digits and whatever is not ASCII
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 _rng = np.random.default_rng(20240607)
 _CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
@@ -80,10 +82,10 @@ class Words(NamedTuple):
     first: np.ndarray  # index of the first word of each row
 
 
-def words(block: Block) -> Words:
-    """Borders of all words of a block."""
+def words(block: Block, separator: np.ndarray = SEPARATOR) -> Words:
+    """Borders of all words of a block; ``separator`` marks the bytes between words."""
     rows = len(block.at) - 1
-    inside = ~SEPARATOR[block.data]
+    inside = ~separator[block.data]
     before = np.zeros(len(inside), bool)
     before[1:] = inside[:-1]
     begins = block.at[:-1]

@@ -59,7 +59,8 @@ def running_total(
 ) -> DataFrame:
     """Sum of ``value`` over the earlier rows of a group, for groups of any size.
 
-    Rows are ordered by a hash of the ``order`` columns and then by these columns.
+    Rows are ordered by the first 15 hex digits of the MD5 of the first ``order`` column
+    and then by these columns.
     The hash range of a group is cut into buckets of about ``per_bucket`` rows at the
     mean, buckets into spans of 256; sums of spans, of buckets and of rows are added.
     No task holds a group: the rows of a bucket meet, then 256 bucket sums, then the
@@ -68,8 +69,9 @@ def running_total(
     if rows is None:
         rows = df.count()
     bits = max(8, (max(1, rows) // per_bucket).bit_length())
-    hashed = F.xxhash64(*(F.col(f"`{c}`") for c in order))
-    df = df.withColumn("_h", hashed).withColumn("_v", value).withColumn("_b", F.shiftrightunsigned("_h", 64 - bits))
+    digits = F.substring(F.md5(F.coalesce(F.col(f"`{order[0]}`").cast("string"), F.lit("")).cast("binary")), 1, 15)
+    hashed = F.conv(digits, 16, 10).cast("long")
+    df = df.withColumn("_h", hashed).withColumn("_v", value).withColumn("_b", F.shiftrightunsigned("_h", 60 - bits))
     key = F.coalesce(F.concat(F.lit("+"), F.col(f"`{group}`").cast("string")), F.lit("-"))
     df = df.withColumn("_g", key)
     sums = df.groupBy("_g", "_b").agg(F.sum("_v").alias("_s")).withColumn("_p", F.shiftright("_b", 8))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import host_rules, part_enum
+from martloom.llm import contamination, curriculum, differencing, host_rules, part_enum
 from martloom.llm.frames import table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,7 +21,30 @@ def op9_part_enum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
-QUERIES = {"op6_host_rules": op6_host_rules, "op9_part_enum_join": op9_part_enum_join}
+def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = curriculum.planned(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = differencing.sharded(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+QUERIES = {
+    "op2_curriculum_mix": op2_curriculum_mix,
+    "op4_decontaminate": op4_decontaminate,
+    "op6_host_rules": op6_host_rules,
+    "op9_part_enum_join": op9_part_enum_join,
+    "op10_differencing_shards": op10_differencing_shards,
+}
 
 # The repeated words of a text: positions covered by a 5-word window found twice or more.
 MEASURED_SQL = rf"""
@@ -77,7 +100,26 @@ def shingle_sql(source: str) -> str:
                FROM shingled s LEFT JOIN classes k ON s.g = k.g LEFT JOIN rooted r ON k.c = r.c)"""
 
 
+# Targets by water filling: the level at which the sources not yet full take what is left.
+MIX_SQL = rf"""
+    sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size FROM documents),
+    sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS s FROM sized GROUP BY source),
+    ranked AS (SELECT *, [2.0, 3.0, 1.0][1 + row_number() OVER (ORDER BY source NULLS LAST) % 3]::DOUBLE AS w,
+                      row_number() OVER (ORDER BY source NULLS LAST) AS k, 2.0::DOUBLE * s AS cap FROM sources),
+    filled AS (SELECT *, cap / w AS fills_at,
+                      (1.5::DOUBLE * sum(s) OVER () - coalesce(sum(cap) OVER e, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER e, 0)) AS level
+               FROM ranked WINDOW e AS (ORDER BY cap / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    leveled AS (SELECT source, s, cap, w, (SELECT arg_min(level, (fills_at, k)) FROM filled WHERE fills_at >= level) AS l FROM ranked),
+    aimed AS (SELECT source, s, least(cap, coalesce(l, 1e300) * w) AS target FROM leveled),
+    queued AS (SELECT d.*, a.s, a.target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY substr(md5(doc_id::VARCHAR), 1, 15), doc_id, size
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+               FROM sized d JOIN aimed a ON d.source IS NOT DISTINCT FROM a.source)"""
+
 ORACLE = {
+    "op2_curriculum_mix": f"""WITH {MIX_SQL}
+        SELECT doc_id, size, s AS source_size, target,
+               CAST(greatest(least(floor(target) - before, size), 0) + greatest(least(floor(target) - s - before, size), 0) AS BIGINT) AS taken
+        FROM queued""",
     "op6_host_rules": f"WITH {MEASURED_SQL}, {KEPT_SQL} SELECT doc_id, {_COUNTS}, kept FROM graded",
     "op9_part_enum_join": f"WITH RECURSIVE {shingle_sql('documents')} SELECT doc_id, n_shingles, component_id FROM joined",
 }
