@@ -36,6 +36,7 @@ from martloom.llm.frames import components, per_row, ship, stage
 from martloom.session import broadcast_if_small
 
 SMALL = 16
+FEW_PAIRS = 4096
 NEIGHBOURS = 2
 BLOCK = 256
 CELL_ELEMENTS = 1 << 17
@@ -291,33 +292,54 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     placed = placed.join(near.select(F.col("node").alias("b"), F.col("home").alias("hb")), "b")
     placed = stage(placed.select("a", "b", F.xxhash64("ha", "hb").alias("cell")), "part-enum-placed")
     sent = placed.select("cell", F.col("a").alias("node")).union(placed.select("cell", "b")).distinct()
-    sent = sent.join(sets, "node").select("cell", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "elements")
+    sent = sets.join(broadcast_if_small(stage(sent, "part-enum-sent")), "node").select("cell", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "elements")
     rows = placed.select("cell", "a", "b", F.lit(None).cast("array<long>").alias("elements")).union(sent)
     return rows.groupBy("cell").applyInArrow(_verify(percent), "u long, v long")
 
 
-def _open(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links that large groups still have between their open members and the rest."""
+def _fitting(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes allow a link."""
+    n = nodes.select("node", "n")
+    pairs = pairs.join(n.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
+    pairs = pairs.join(n.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
+    return pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
+
+
+def _open(members: DataFrame, roots: DataFrame, nodes: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that large groups still have between their open members and the rest.
+
+    Where these are up to ``FEW_PAIRS`` pairs, a pair is looked at once for all its
+    groups; larger groups are compared block by block.
+    """
     members = members.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
     members = stage(members, "part-enum-members")
     shares = members.groupBy("sig", "root").agg(F.count("*").alias("k"))
     groups = shares.groupBy("sig").agg(
         F.max_by("root", F.struct("k", "root")).alias("main"), F.max("k").alias("most"), F.sum("k").alias("g")
-    ).where("most < g")
+    ).where("most < g").withColumn("few", F.col("g") * (F.col("g") - F.col("most")) <= FEW_PAIRS)
     wide = members.join(groups, "sig").withColumn("outside", F.col("root") != F.col("main"))
-    wide = wide.withColumn("ob", F.ceil((F.col("g") - F.col("most")) / BLOCK)).withColumn("mb", F.ceil(F.col("g") / BLOCK))
+    wide = stage(wide, "part-enum-open")
+
+    left = wide.where("few AND outside").select("sig", F.col("node").alias("u"), F.col("root").alias("ru"))
+    right = wide.where("few").select("sig", F.col("node").alias("v"), F.col("root").alias("rv"))
+    near = left.join(right, "sig").where("ru <> rv").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+    near = stage(_fitting(near, nodes, percent).join(pairs, ["a", "b"], "left_anti"), "part-enum-near")
+    found = _links(near, sets, percent)
+
+    many = wide.where("NOT few")
+    many = many.withColumn("ob", F.ceil((F.col("g") - F.col("most")) / BLOCK)).withColumn("mb", F.ceil(F.col("g") / BLOCK))
     slot = F.xxhash64("node")
-    as_member = wide.select(
+    as_member = many.select(
         "sig", "node", "root", F.lit(False).alias("outside"), F.pmod(slot, "mb").alias("m"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("ob") - 1)).alias("o"),
     )
-    as_open = wide.where("outside").select(
+    as_open = many.where("outside").select(
         "sig", "node", "root", F.lit(True).alias("outside"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)).alias("m"), F.pmod(slot, "ob").alias("o"),
     )
     rows = as_member.unionByName(as_open).withColumn("cell", F.xxhash64("sig", "m", "o"))
     rows = rows.select("cell", "node", "root", "outside").join(sets, "node")
-    return rows.groupBy("cell").applyInArrow(_open_links(percent), "u long, v long")
+    return found.union(rows.groupBy("cell").applyInArrow(_open_links(percent), "u long, v long"))
 
 
 def shingle_sets(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 4) -> DataFrame:
@@ -344,23 +366,26 @@ def similar_components(
     signed = texts.mapInArrow(_sign(width, percent), "sig long, node long")
     signed = signed.repartition("sig").sortWithinPartitions("sig", "node")
     met = stage(signed.mapInArrow(_meet, "kind byte, a long, b long"), "part-enum-met")
-    pairs = stage(met.where("kind = 0").select("a", "b").distinct(), "part-enum-pairs")
     members = met.where("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("node"))
-
-    nodes = rows.where("node <> 0").groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    nodes = rows.where("node <> 0").groupBy("node").agg(F.min("id").alias("least"), F.max("n_shingles").alias("n"))
     nodes = stage(nodes, "part-enum-nodes")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    pairs = stage(_fitting(met.where("kind = 0").select("a", "b").distinct(), nodes, percent), "part-enum-pairs")
+
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(members.select("node")).distinct()
     carriers = nodes.join(wanted, "node").where("least is not null").select(F.col("least").alias("_id"), F.col("node").alias("_node"))
+    carriers = stage(carriers, "part-enum-carriers")
     chosen = df.select(F.col(f"`{id_col}`").alias("_id"), arrays.text_column(text).alias("_t"))
-    chosen = chosen.join(broadcast_if_small(stage(carriers, "part-enum-carriers")), "_id")
+    chosen = chosen.join(broadcast_if_small(carriers), "_id")
     taken = per_row(_elements(width), "array<long>")
     keyed = per_row(_nodes(width), "n_shingles long, node long")
     sets = chosen.select("_node", keyed("_t").alias("_k"), taken("_t").alias("elements")).where("_node = _k.node")
-    sets = stage(sets.dropDuplicates(["_node"]).select(F.col("_node").alias("node"), "elements"), "part-enum-sets")
+    sets = stage(sets.select(F.col("_node").alias("node"), "elements"), "part-enum-sets")
+    if sets.count() > carriers.count():  # rows that repeat an id
+        sets = stage(sets.dropDuplicates(["node"]), "part-enum-sets")
 
     links = stage(_links(pairs, sets, percent), "part-enum-links")
     roots = components(links, "part-enum-roots")
-    more = stage(_open(members, roots, sets, percent), "part-enum-more")
+    more = stage(_open(members, roots, nodes, pairs, sets, percent), "part-enum-more")
     edges = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more)
     roots = components(edges, "part-enum-roots")
 
