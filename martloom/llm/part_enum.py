@@ -2,13 +2,15 @@
 
 A document is the set of its distinct word shingles (64-bit keys). Sizes are cut into
 bands so that two sets that link lie in one band or in neighbouring ones. For each
-band the feature domain is dealt into more partitions than two linked sets of that
-band can differ by elements; so they agree on a whole partition, and the key of a
-set's share of a partition is a signature both have. A set signs in its own band and,
-if it may link with a larger set, in the next one.
-
-Two sets may agree only where both are empty. A band has a few partitions to spare;
-a set with more empty partitions than that signs again under another deal of the
+band the feature domain is dealt into partitions, more than half as many as two linked
+sets of that band can differ by elements, and each partition into three parts. So
+there is a partition in which two linked sets differ by one element at most, and they
+agree on two of its parts; the key of a set's share of two parts of a partition is a
+signature. A set signs in its own band and, if it may link with a larger set, in the
+next one. Bands in which linked sets are equal need no signature.
+
+Two sets may agree only where both are empty. A band has partitions to spare; a set
+with empty shares in more partitions than that signs again under another deal of the
 domain, as often as needed (both sets of a pair that could be missed do so).
 
 Equal sets are one node from the start. Signatures are met in one sorted shuffle:
@@ -47,13 +49,14 @@ def bands(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     """Upper size of each band, its number of partitions and its spare partitions."""
     top, low = [], 1
     while not top or top[-1] < largest or len(top) < 2:
-        high = max(low, low * 3 // 2, (low - 1) * 100 // percent)
+        high = max(low, low * 5 // 4, low * 100 // percent)
         top.append(high)
         low = high + 1
     top = np.array(top, np.int64)
     apart = 2 * top * (100 - percent) // (100 + percent)
-    spare = apart // 12
-    return top, apart + 1 + spare, spare
+    parts = apart // 2 + 1
+    spare = parts // 32
+    return top, np.where(apart > 0, parts + spare, 0), spare
 
 
 def sets_of(block: arrays.Block, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,6 +100,8 @@ def signatures(elements: np.ndarray, size: np.ndarray, percent: int) -> tuple[np
     row = np.concatenate([rows, next_too])
     band = np.concatenate([own[rows], own[next_too] + 1])
     out_row, out_key = [], []
+    signs = parts[band] > 0
+    row, band = row[signs], band[signs]
     for deal in range(DEALS):
         if not len(row):
             break
@@ -107,20 +112,25 @@ def signatures(elements: np.ndarray, size: np.ndarray, percent: int) -> tuple[np
         count = parts[band]
         base = np.concatenate([[0], np.cumsum(count)])
         part = ((mixed >> np.uint64(32)) * np.repeat(count, n).astype(np.uint64)) >> np.uint64(32)
-        cell = np.repeat(base[:-1], n) + part.astype(np.int64)
+        third = (mixed & np.uint64(0xFFFFFFFF)) % np.uint64(3)
+        cell = (np.repeat(base[:-1], n) + part.astype(np.int64)) * 3 + third.astype(np.int64)
         share = arrays.mix(mixed)
-        low = np.bincount(cell, (share & np.uint64(0xFFFFFFFF)).astype(np.float64), base[-1])
-        high = np.bincount(cell, (share >> np.uint64(32)).astype(np.float64), base[-1])
-        filled = np.bincount(cell, minlength=base[-1]) > 0
+        low = np.bincount(cell, (share & np.uint64(0xFFFFFFFF)).astype(np.float64), 3 * base[-1]).astype(np.uint64)
+        high = np.bincount(cell, (share >> np.uint64(32)).astype(np.float64), 3 * base[-1]).astype(np.uint64)
+        total = (low + (high << np.uint64(32))).reshape(-1, 3)
+        filled = np.bincount(cell, minlength=3 * base[-1]).reshape(-1, 3) > 0
         owner = np.repeat(np.arange(len(row)), count)
         place = np.arange(base[-1]) - np.repeat(base[:-1], count)
-        tag = arrays.mix((np.repeat(band, count) * DEALS + deal).astype(np.uint64) << np.uint64(32) | place.astype(np.uint64))
-        key = arrays.mix(low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32)) ^ tag)
-        last = deal == DEALS - 1
-        say = np.ones(len(key), bool) if last else filled
-        out_row.append(row[owner[say]])
-        out_key.append(key[say])
-        again = np.bincount(owner[~filled], minlength=len(row)) > spare[band]
+        tag = (np.repeat(band, count) * DEALS + deal).astype(np.uint64) << np.uint64(32) | place.astype(np.uint64)
+        poor = np.zeros(len(owner), bool)
+        for k, (x, y) in enumerate(((0, 1), (0, 2), (1, 2))):
+            say = filled[:, x] | filled[:, y]
+            poor |= ~say
+            say |= deal == DEALS - 1
+            key = arrays.mix(total[:, x] + total[:, y] ^ arrays.mix(tag * np.uint64(3) + np.uint64(k)))
+            out_row.append(row[owner[say]])
+            out_key.append(key[say])
+        again = np.bincount(owner[poor], minlength=len(row)) > spare[band]
         row, band = row[again], band[again]
     if not out_row:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -305,6 +315,41 @@ def _fitting(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
 
 
+def _mains(members: DataFrame) -> DataFrame:
+    """Main component, its members and all members of each group of several components."""
+    shares = members.groupBy("sig", "root").agg(F.count("*").alias("k"))
+    groups = shares.groupBy("sig").agg(
+        F.max_by("root", F.struct("k", "root")).alias("main"), F.max("k").alias("most"), F.sum("k").alias("g")
+    )
+    return groups.where("most < g")
+
+
+def _gathered(wide: DataFrame) -> DataFrame:
+    """Groups that overlap put together where that takes fewer comparisons.
+
+    Near copies meet in many groups of nearly the same members; one block-wise pass
+    over their union looks at each pair once.
+    """
+    heads = wide.groupBy("sig").agg(F.min("node").alias("head"), F.first("g").alias("g"), F.first("most").alias("most"))
+    heads = stage(heads, "part-enum-heads")
+    edges = wide.select("sig", "node").join(heads, "sig").select(F.col("node").alias("u"), F.col("head").alias("v"))
+    roots = components(edges, "part-enum-unions")
+    heads = heads.join(roots, heads["head"] == roots["node"], "left").withColumn("union", F.coalesce("root", "head"))
+    whole = wide.select("sig", "node", F.col("root").alias("r")).join(heads.select("sig", "union"), "sig")
+    whole = stage(whole.select(F.col("union").alias("sig"), "node", F.col("r").alias("root")).distinct(), "part-enum-wholes")
+    cost = F.col("g") * (F.col("g") - F.col("most"))
+    apart = heads.groupBy("union").agg(F.sum(cost).alias("apart"))
+    together = _mains(whole).withColumn("together", cost)
+    better = stage(
+        together.join(apart, together["sig"] == apart["union"]).where("together <= apart").select("union", "main", "most", "g"),
+        "part-enum-unions",
+    )
+    own = heads.select("sig", "union").join(better.select("union"), "union", "left_anti").select("sig")
+    single = wide.join(own, "sig").select("sig", "node", "root", "most", "g", "outside")
+    joint = whole.join(better, whole["sig"] == better["union"]).withColumn("outside", F.col("root") != F.col("main"))
+    return single.unionByName(joint.select("sig", "node", "root", "most", "g", "outside"))
+
+
 def _open(members: DataFrame, roots: DataFrame, nodes: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that large groups still have between their open members and the rest.
 
@@ -313,10 +358,7 @@ def _open(members: DataFrame, roots: DataFrame, nodes: DataFrame, pairs: DataFra
     """
     members = members.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
     members = stage(members, "part-enum-members")
-    shares = members.groupBy("sig", "root").agg(F.count("*").alias("k"))
-    groups = shares.groupBy("sig").agg(
-        F.max_by("root", F.struct("k", "root")).alias("main"), F.max("k").alias("most"), F.sum("k").alias("g")
-    ).where("most < g").withColumn("few", F.col("g") * (F.col("g") - F.col("most")) <= FEW_PAIRS)
+    groups = _mains(members).withColumn("few", F.col("g") * (F.col("g") - F.col("most")) <= FEW_PAIRS)
     wide = members.join(groups, "sig").withColumn("outside", F.col("root") != F.col("main"))
     wide = stage(wide, "part-enum-open")
 
@@ -326,7 +368,7 @@ def _open(members: DataFrame, roots: DataFrame, nodes: DataFrame, pairs: DataFra
     near = stage(_fitting(near, nodes, percent).join(pairs, ["a", "b"], "left_anti"), "part-enum-near")
     found = _links(near, sets, percent)
 
-    many = wide.where("NOT few")
+    many = _gathered(wide.where("NOT few"))
     many = many.withColumn("ob", F.ceil((F.col("g") - F.col("most")) / BLOCK)).withColumn("mb", F.ceil(F.col("g") / BLOCK))
     slot = F.xxhash64("node")
     as_member = many.select(
