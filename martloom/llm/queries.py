@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import contamination, curriculum, differencing, host_rules, part_enum
+from martloom.llm import contamination, curriculum, differencing, host_rules, part_enum, warc
 from martloom.llm.frames import table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,6 +26,13 @@ def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.new_archive(spark)
+    manifest = warc.write_archive(table(spark, sf_dir, "pages"), archive)
+    rows = warc.read_archive(spark, archive.root, manifest, payloads=False)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
@@ -40,6 +47,7 @@ def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_curriculum_mix": op2_curriculum_mix,
+    "op3_warc_archive": op3_warc_archive,
     "op4_decontaminate": op4_decontaminate,
     "op6_host_rules": op6_host_rules,
     "op9_part_enum_join": op9_part_enum_join,
@@ -120,6 +128,15 @@ ORACLE = {
         SELECT doc_id, size, s AS source_size, target,
                CAST(greatest(least(floor(target) - before, size), 0) + greatest(least(floor(target) - s - before, size), 0) AS BIGINT) AS taken
         FROM queued""",
+    "op3_warc_archive": """WITH paid AS (SELECT page_id, encode(coalesce(html, '')) AS p FROM pages),
+        summed AS (SELECT page_id, octet_length(p) AS n, sha1(p) AS h FROM paid),
+        firsts AS (SELECT h, min(page_id) AS f FROM summed GROUP BY h)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ((CAST('0x' || substr(s.h, 1 + 5 * (k // 4), 5) AS BIGINT) >> CAST(5 * (3 - k % 4) AS INTEGER)) & 31), 1)), '') AS payload_digest,
+               CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> f THEN f END AS refers_to
+        FROM summed s JOIN firsts USING (h)""",
     "op6_host_rules": f"WITH {MEASURED_SQL}, {KEPT_SQL} SELECT doc_id, {_COUNTS}, kept FROM graded",
     "op9_part_enum_join": f"WITH RECURSIVE {shingle_sql('documents')} SELECT doc_id, n_shingles, component_id FROM joined",
 }
