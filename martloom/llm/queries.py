@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import contamination, curriculum, differencing, host_rules, part_enum, warc
+from martloom.llm import contamination, crf_language, crf_private, curriculum, differencing, host_rules, part_enum, pu_quality, warc
 from martloom.llm.frames import table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,11 +16,42 @@ def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *host_rules.COUNTS, "base_failed", "kept")
 
 
+def op7_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learn = _remainder(5) != 0
+    field = crf_language.train(docs.where(learn))
+    return crf_language.labelled(docs, field).select("doc_id", (~learn).alias("held_out"), "lang_pred", "score")
+
+
+def op8_crf_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = crf_private.searched(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    digest = F.sha2(crf_private.span_text("base_spans").cast("binary"), 256)
+    return rows.select(
+        "doc_id", *(count(k) for k in crf_private.KINDS), digest.alias("base_sha256"), crf_private.span_text("all_spans").alias("spans")
+    )
+
+
 def op9_part_enum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = part_enum.similar_components(table(spark, sf_dir, "documents"))
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+def _remainder(parts: int):
+    """crc32 of the id as text, modulo ``parts``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
+
+
+def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    learn = _remainder(4) != 2
+    positive = labels.where(learn & (F.col("quality") == 1)).select("doc_id")
+    model = pu_quality.train(docs.where(learn), positive, "doc_id", "text")
+    rows = pu_quality.scored(docs, model)
+    return rows.select("doc_id", (~learn).alias("held_out"), "score", "predicted")
+
+
 def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = curriculum.planned(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return rows.select("doc_id", "size", "source_size", "target", "taken")
@@ -46,10 +77,13 @@ def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pu_quality": op1_pu_quality,
     "op2_curriculum_mix": op2_curriculum_mix,
     "op3_warc_archive": op3_warc_archive,
     "op4_decontaminate": op4_decontaminate,
     "op6_host_rules": op6_host_rules,
+    "op7_crf_language": op7_crf_language,
+    "op8_crf_private": op8_crf_private,
     "op9_part_enum_join": op9_part_enum_join,
     "op10_differencing_shards": op10_differencing_shards,
 }
