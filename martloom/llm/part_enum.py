@@ -14,8 +14,8 @@ with empty shares in more partitions than that signs again under another deal of
 domain, as often as needed (both sets of a pair that could be missed do so).
 
 Equal sets are one node from the start. Signatures are met in one sorted shuffle:
-each member is paired with the group's first member and its neighbours, all pairs are
-taken in groups of up to ``SMALL`` members, and pairs are verified on the sets. In
+each member is paired with the group's first member, all pairs are taken among its
+first ``SMALL`` members, and pairs are verified on the sets. In
 larger groups only the members outside the group's main component are still open;
 they are compared with the members in blocks, and a block yields at most one link
 between an open member and a component. So no link between two components is lost
@@ -39,7 +39,6 @@ from martloom.session import broadcast_if_small
 
 SMALL = 16
 FEW_PAIRS = 4096
-NEIGHBOURS = 2
 BLOCK = 256
 CELL_ELEMENTS = 1 << 17
 DEALS = 8
@@ -198,7 +197,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.arange(k, len(sig))
         left, right = [], []
         for back in range(1, SMALL):
-            mine = new[(place[new] >= back) & ((place[new] < SMALL) | (back <= NEIGHBOURS))]
+            mine = new[(place[new] >= back) & (place[new] < SMALL)]
             if not len(mine):
                 break
             left.append(node[mine])
