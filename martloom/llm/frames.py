@@ -18,9 +18,17 @@ __all__ = ["clear", "components", "per_row", "ship", "running_total", "stage", "
 
 _shipped: set[str] = set()
 
+# Texts differ in length by orders of magnitude, so batches are bounded by bytes: a worker
+# and the off-heap vectors behind it then hold a few MB (or one longer text) at a time.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application, as ``--py-files`` would."""
+    """Give the executors this package, once per application, as ``--py-files`` would,
+    and bound Arrow batches by bytes where the session allows much larger ones."""
+    if int("".join(filter(str.isdigit, spark.conf.get(BATCH)))) > 4 * BATCH_BYTES:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
