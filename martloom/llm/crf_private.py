@@ -75,6 +75,8 @@ LABELLED = (
     "id 2669109448945250 was seen",
     "12 | 34 | 56 | 78",
     "score 3-2 after 90 minutes",
+    "1 2 3 4 5 6 7 8 9 10 11 12",
+    "7 8 9 10 and 5 6 7 8 9",
     "version 10.0.19045 build 3803",
 )
 _LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
