@@ -49,15 +49,25 @@ def _month_key(fact: DataFrame, calendar: DataFrame, month: Column) -> DataFrame
 # --- orders, allocations, forecasts -----------------------------------------------
 
 
+def require_codes(rules: object, *names: str) -> None:
+    """Refuse empty lists of admitted codes: they would drop every row."""
+    empty = [n for n in names if not getattr(rules, n)]
+    if empty:
+        raise ValueError(f"{type(rules).__name__} needs codes for {', '.join(empty)}")
+
+
 @dataclass(frozen=True)
 class OrderFilter:
-    """Code lists of the order filter; blocked codes let NULL through."""
+    """Code lists of the order filter; blocked codes let NULL through and may be empty."""
 
+    document_types: tuple[str, ...]
+    item_categories: tuple[str, ...]
+    companies: tuple[str, ...]
     blocked_deliveries: tuple[str, ...] = ()
     blocked_reasons: tuple[str, ...] = ()
-    document_types: tuple[str, ...] = ()
-    item_categories: tuple[str, ...] = ()
-    companies: tuple[str, ...] = ()
+
+    def __post_init__(self) -> None:
+        require_codes(self, "document_types", "item_categories", "companies")
 
     def condition(self) -> Column:
         return (
@@ -204,14 +214,15 @@ class FinanceRules:
     elements contribute their own numeric code, NULL contributes 0.
     """
 
-    memo_billing_types: tuple[str, ...] = ("ZS03", "ZR03", "ZS34", "ZSM")
+    memo_billing_types: tuple[str, ...]
+    direct_record_types: tuple[str, ...]
+    other_record_type: str
+    barred_channel: str
+    special_channels: tuple[str, ...]
     pogo_sources: Mapping[str, str] = field(default_factory=dict)
+    # The class labels of the product dimension.
     core_class: str = "CD"
     other_class: str = "NONCD"
-    direct_record_types: tuple[str, ...] = ("B", "D")
-    other_record_type: str = "F"
-    barred_channel: str = "ST"
-    special_channels: tuple[str, ...] = ("ST", "OH")
 
 
 # Raw amounts of a finance record.
@@ -311,7 +322,7 @@ def build_finance_fact(
     excluded_packs: DataFrame,
     excluded_companies: DataFrame,
     included_billing: DataFrame,
-    rules: FinanceRules | None = None,
+    rules: FinanceRules,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Finance actuals with every derived measure.
@@ -332,7 +343,7 @@ def build_finance_fact(
         ("billing_included", included_billing, "billing_type"),
     ):
         out = flag_member(out, members, column, members.columns[0], name)
-    out = add_finance_measures(out, rules or FinanceRules())
+    out = add_finance_measures(out, rules)
     return out.select(
         *[as_col(c) for c in keep],
         "billing_type",
@@ -431,26 +442,29 @@ def build_media_plan_fact(
 class SalesRules:
     """Filters, channel rules and rate constants of primary sales."""
 
-    branches: tuple[str, ...] = ()
+    branches: tuple[str, ...]
+    businesses: tuple[str, ...]
+    price_groups: tuple[str, ...]
+    companies: tuple[str, ...]
+    sales_types: tuple[str, ...]
+    invoice_types: tuple[str, ...]
+    modern_groups: tuple[str, ...]
+    classic_groups: tuple[str, ...]
+    modern_channels: tuple[str, ...]
+    classic_channels: Mapping[str, str]
+    cash_label: str
+    retail_label: str
+    rate_from_month: str
+    low_rate: str
+    high_rate: str
+    low_rate_businesses: tuple[str, ...] = ()
+    cash_chains: tuple[str, ...] = ()
     barred_categories: tuple[str, ...] = ()
     barred_brand: str = ""
-    businesses: tuple[str, ...] = ()
-    price_groups: tuple[str, ...] = ()
     barred_materials: tuple[str, ...] = ()
-    companies: tuple[str, ...] = ()
-    sales_types: tuple[str, ...] = ()
-    invoice_types: tuple[str, ...] = ()
-    modern_groups: tuple[str, ...] = ()
-    classic_groups: tuple[str, ...] = ()
-    cash_chains: tuple[str, ...] = ()
-    modern_channels: tuple[str, ...] = ("MT", "KA")
-    classic_channels: Mapping[str, str] = field(
-        default_factory=lambda: {"CD": "CSD", "GT": "GT", "RD": "RD", "OH": "OOH"}
-    )
-    rate_from_month: str = "201701"
-    low_rate_businesses: tuple[str, ...] = ()
-    low_rate: str = "1.1"
-    high_rate: str = "1.1825"
+
+    def __post_init__(self) -> None:
+        require_codes(self, "branches", "businesses", "price_groups", "companies", "sales_types", "invoice_types")
 
 
 def sales_channel(rules: SalesRules) -> Column:
@@ -458,7 +472,7 @@ def sales_channel(rules: SalesRules) -> Column:
     modern = F.col("business_group").isin(*rules.modern_groups) & F.col("customer_channel").isin(*rules.modern_channels)
     classic = F.col("business_group").isin(*rules.classic_groups)
     cash = F.col("customer_chain").isin(*rules.cash_chains)
-    out = F.when(modern & cash, "CNC").when(modern & ~cash, "MT_Retail")
+    out = F.when(modern & cash, rules.cash_label).when(modern & ~cash, rules.retail_label)
     for code, label in rules.classic_channels.items():
         out = out.when(classic & (F.col("customer_channel") == code), label)
     return out

@@ -228,9 +228,12 @@ def ingest(spark: SparkSession, config: IngestConfig, run_date: str, start: int
     start = start if start is not None else int(time.time() * 1000)
     folder = config.landing_path + (f"/{config.date_folder}" if config.date_folder else "")
     paths = list_files(spark, folder, config.file_prefix)
-    files = probe_headers(spark, paths[:1] if config.first_file_only else paths, config.header, config.delimiter)
-    good = [f for f in files if header_matches(f.columns, config.columns, config.strict_header)]
-    refused = [f for f in files if f not in good]
+    files = probe_headers(spark, paths[:1] if config.first_file_only else paths, config.delimiter, folder)
+    good: list[LandingFile] = []
+    refused: list[LandingFile] = []
+    for file in files:
+        fits = header_matches(file.columns, config.columns, config.strict_header and config.header)
+        (good if fits else refused).append(file)
     audits = []
     if refused:
         audits.append(audit_rows(spark, config, refused, None, start))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # What file names say about their content.
-RESTATEMENT_MARK = "_RESTATEMENT_"
+RESTATEMENT_MARK = r"_RESTATEMENT(?=[_./]|$)"
 FILE_DATE = r"_(\d{8})[^_/]*$"
+PART_SUFFIX = r"[_-]p(?:art)?[_-]?\d+(?=\.|$)"
 
 FILE = "_file"
 PROBE_THREADS = 16
@@ -48,14 +50,49 @@ def read_delimited(
 class LandingFile:
     path: str
     columns: tuple[str, ...]
+    folder: str = ""
 
     @property
     def name(self) -> str:
         return self.path.rsplit("/", 1)[-1]
 
+    @property
+    def label(self) -> str:
+        """The part of the path below the landing folder; just the name where that is unknown."""
+        start = self.path.find(f"/{self.folder.strip('/')}/") if self.folder.strip("/") else -1
+        return self.path[start + len(self.folder.strip("/")) + 2 :] if start >= 0 else self.name
+
     @property
     def restates(self) -> bool:
-        return RESTATEMENT_MARK in self.name.upper()
+        return re.search(RESTATEMENT_MARK, self.label, re.IGNORECASE) is not None
+
+    @property
+    def delivery(self) -> tuple[str, str]:
+        """File date and name of the delivery, equal for the parts of one delivery.
+
+        The files of a marked folder are one delivery. Elsewhere parts share their name
+        up to ``_p<number>`` or ``_part<number>``, or the name up to the mark and a date.
+        """
+        steps = self.label.split("/")
+        for k, step in enumerate(steps[:-1]):
+            if re.search(RESTATEMENT_MARK, step, re.IGNORECASE):
+                date = re.search(FILE_DATE, step)
+                return date[1] if date else "", "/".join(steps[: k + 1])
+        date = re.search(FILE_DATE, self.label)
+        mark = re.search(RESTATEMENT_MARK, self.label, re.IGNORECASE)
+        if date and mark:
+            return date[1], self.label[: mark.end()]
+        return date[1] if date else "", re.sub(PART_SUFFIX, "", self.label, count=1, flags=re.IGNORECASE)
+
+
+def file_path() -> Column:
+    """The path of a row's file, decoded, so that it can be read again and joined on."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def literal_path(path: str) -> str:
+    """``path`` with the characters escaped that a reader would take for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def list_files(spark: SparkSession, folder: str, prefix: str = "") -> list[str]:
@@ -64,7 +101,7 @@ def list_files(spark: SparkSession, folder: str, prefix: str = "") -> list[str]:
     Only file metadata is read: the content column is never asked for.
     """
     files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{prefix}*")
-    paths = files.select(F.col("_metadata.file_path").alias("path")).collect()
+    paths = files.select(file_path().alias("path")).collect()
     return sorted(r["path"] for r in paths if ".csv" in r["path"].rsplit("/", 1)[-1].lower())
 
 
@@ -85,12 +122,31 @@ def file_date(file: Column) -> Column:
 
 
 def probe_headers(
-    spark: SparkSession, paths: Sequence[str], header: bool = True, delimiter: str = ","
+    spark: SparkSession, paths: Sequence[str], delimiter: str = ",", folder: str = ""
 ) -> list[LandingFile]:
-    """Read just the first line of each file; files are probed side by side."""
+    """The fields of each file's first line that is not blank, read through the file system.
+
+    No Spark job is started, whatever the number of files; only first lines reach the driver.
+    """
+    java = spark._jvm.java.io
+    hadoop = spark._jvm.org.apache.hadoop
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    codecs = hadoop.io.compress.CompressionCodecFactory(conf)
 
     def probe(path: str) -> LandingFile:
-        return LandingFile(path, tuple(read_delimited(spark, path, header=header, delimiter=delimiter).columns))
+        file = hadoop.fs.Path(path)
+        stream = file.getFileSystem(conf).open(file)
+        try:
+            codec = codecs.getCodec(file)
+            plain = stream if codec is None else codec.createInputStream(stream)
+            reader = java.BufferedReader(java.InputStreamReader(plain, "UTF-8"))
+            line = reader.readLine()
+            while line is not None and not line.strip():
+                line = reader.readLine()
+        finally:
+            stream.close()
+        fields = next(csv.reader([line.lstrip("\ufeff")], delimiter=delimiter)) if line else []
+        return LandingFile(path, tuple(fields), folder)
 
     with ThreadPoolExecutor(PROBE_THREADS) as pool:
         return list(pool.map(probe, paths))
@@ -112,22 +168,26 @@ def read_landing(
     stamp: str | None = None,
 ) -> DataFrame:
     """All files in one scan, text columns by position, with the file path as ``_file``."""
-    df = read_delimited(spark, list(paths), columns, header, delimiter)
-    df = df.select("*", F.col("_metadata.file_path").alias(FILE))
+    df = read_delimited(spark, [literal_path(p) for p in paths], columns, header, delimiter)
+    df = df.select("*", file_path().alias(FILE))
     return df if stamp is None else df.withColumn("PROCESS_TIMESTAMP", F.lit(stamp))
 
 
 def write_runs(files: Sequence[LandingFile], mode: str) -> list[tuple[str, list[LandingFile]]]:
-    """Consecutive files that can be written together: (mode, files).
+    """Files that are written together: (mode, files), by file date and name.
 
-    Restating files overwrite one by one, in order; the others share a run.
+    A restating delivery overwrites in one run over all its files, so its parts do not
+    replace each other; later deliveries replace earlier ones. With mode ``overwrite``
+    all other files are one delivery as well, written first.
     """
     runs: list[tuple[str, list[LandingFile]]] = []
-    for file in files:
-        if file.restates or mode == "overwrite":
-            runs.append(("overwrite", [file]))
-        elif runs and runs[-1][0] == mode:
+    last: tuple[str, str] | None = None
+    first = mode == "overwrite"
+    for file in sorted(files, key=lambda f: (f.restates if first else False, f.delivery, f.label)):
+        key = file.delivery if file.restates else None
+        if runs and key == last:
             runs[-1][1].append(file)
         else:
-            runs.append((mode, [file]))
+            runs.append(("overwrite" if file.restates else mode, [file]))
+        last = key
     return runs

@@ -15,6 +15,7 @@ from martloom.sources.landing import (
     header_matches,
     list_files,
     order_by_file_date,
+    probe_headers,
     read_delimited,
     write_runs,
 )
@@ -68,6 +69,49 @@ def test_restatement_replaces_only_its_partitions(spark, tmp_path, rows):
     assert rows(spark.read.parquet(str(tmp_path / "lake")), "id") == [("3",), ("9",)]
 
 
+def test_parts_of_a_restatement_stay_together_and_later_ones_win(spark, tmp_path, rows):
+    put(tmp_path / "landing", "orders_1.csv", HEADER, "1,5,20180512", "3,5,20190101", "4,5,20200101")
+    put(tmp_path / "landing", "orders_1_RESTATEMENT_p1.csv", HEADER, "10,9,20180531", "11,9,20180502")
+    put(tmp_path / "landing", "orders_1_RESTATEMENT_p2.csv", HEADER, "12,9,20180501")
+    put(tmp_path / "landing", "orders_RESTATEMENT_20240201-a.csv", HEADER, "20,9,20190131")
+    put(tmp_path / "landing", "orders_RESTATEMENT_20240101-a.csv", HEADER, "30,9,20190131")
+    put(tmp_path / "landing", "orders_RESTATEMENT_20240201-b.csv", HEADER, "21,9,20190101")
+    audit = ingest(spark, config(tmp_path), "20240101")
+    assert rows(spark.read.parquet(str(tmp_path / "lake")), "id") == [("10",), ("11",), ("12",), ("20",), ("21",), ("4",)]
+    assert audit.count() == 6
+
+
+def test_a_marked_folder_restates(spark, tmp_path, rows):
+    put(tmp_path / "landing" / "orders_1.csv", "part-0.csv", HEADER, "1,5,20180512")
+    put(tmp_path / "landing" / "orders_1_RESTATEMENT.csv", "part-0.csv", HEADER, "2,5,20180512")
+    put(tmp_path / "landing" / "orders_1_RESTATEMENT.csv", "part-1.csv", HEADER, "3,5,20180513")
+    ingest(spark, config(tmp_path, LandingFileName="orders_*/part-"), "20240101")
+    assert rows(spark.read.parquet(str(tmp_path / "lake")), "id") == [("2",), ("3",)]
+
+
+def test_overwrite_takes_all_files(spark, tmp_path, rows):
+    put(tmp_path / "landing", "orders_1.csv", HEADER, "1,5,20180512")
+    put(tmp_path / "landing", "orders_2.csv", HEADER, "2,5,20180512")
+    ingest(spark, config(tmp_path, mode="overwrite", SplitDateColumn="NA"), "20240101")
+    assert rows(spark.read.parquet(str(tmp_path / "lake")), "id") == [("1",), ("2",)]
+
+
+def test_any_file_name_and_no_job_per_file(spark, tmp_path, rows):
+    names = ["orders 1.csv", "orders%202.csv", "orders+3.csv", "orders[4].csv", "orders\u00e9 5.csv"]
+    for i, name in enumerate(names):
+        put(tmp_path / "landing", name, HEADER, f"{i},5,20180512")
+    audit = ingest(spark, config(tmp_path), "20240101")
+    assert rows(spark.read.parquet(str(tmp_path / "lake")), "id") == [(str(i),) for i in range(5)]
+    assert rows(audit, "InputRowCount", "OutputRowCount") == [(1, 1)] * 5
+    assert sorted(r.InputFile.rsplit("/", 1)[-1] for r in audit.collect()) == sorted(names)
+    paths = list_files(spark, str(tmp_path / "landing"), "orders")
+    spark.sparkContext.setJobGroup("probe", "headers")
+    found = probe_headers(spark, paths)
+    assert [f.columns for f in found] == [("id", "amount", "order date")] * 5
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("probe")
+    spark.sparkContext.setJobGroup("", "")
+
+
 def test_mapping_class_checks_duplicates_and_takes_one_file(spark, tmp_path, rows):
     put(tmp_path / "landing", "orders_1.csv", HEADER, "1,5,20180512", "1,6,20180512", "2,5,20180512")
     put(tmp_path / "landing", "orders_2.csv", HEADER, "3,5,20180512")

@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from martloom.operators.members import (
     priority_union,
     unique_members,
 )
-from martloom.plans.facts import disjoint_rates
+from martloom.plans.facts import OrderFilter, disjoint_rates
 from martloom.plans.members import ChannelRules, build_reference_dim, build_unit_dim, rule_channel
 from martloom.session import broadcast_if_small, is_small
 
@@ -101,10 +102,15 @@ def test_member_filters(spark, rows):
     assert union_conformed(fact, members).count() == 6
 
 
+def test_empty_code_lists_are_refused():
+    with pytest.raises(ValueError, match="companies"):
+        OrderFilter(("d",), ("i",), ())
+
+
 def test_channel_rule(spark):
-    df = spark.createDataFrame([("KA", "HYD"), ("MT", "zzz"), ("GT", "HYD"), ("KA", None)], "ch string, g string")
-    out = [r[0] for r in df.select(rule_channel("ch", "g", ChannelRules())).collect()]
-    assert out == ["CNC", "Retail", None, None]
+    df = spark.createDataFrame([("big", "x1"), ("mall", "zzz"), ("corner", "x1"), ("big", None)], "ch string, g string")
+    out = [r[0] for r in df.select(rule_channel("ch", "g", ChannelRules(("big", "mall"), ("x1",), "cash", "shop"))).collect()]
+    assert out == ["cash", "shop", None, None]
 
 
 def test_rate_intervals_become_disjoint(spark):

@@ -110,22 +110,24 @@ INGEST_REGISTRY_SQL = f"WITH {_INGEST_SQL} SELECT DISTINCT status, '170000000000
 
 
 def ingest_restatement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A restating file replaces exactly the year partitions it has rows for."""
+    """Restating folders, known by name, replace exactly the year partitions they have rows for.
+
+    Each lands in many files; of two restatements of a year the later one stays, whole.
+    """
     root = _fresh(spark, "restate")
-    rows = table(spark, sf_dir, "orders").selectExpr(*render(_LANDING, SPARK)).where("order_day <> '20010231'")
-    again = rows.where("substr(order_day, 1, 4) = '1999' AND status = 'F'").withColumn("status", F.lit("restated"))
+    rows = table(spark, sf_dir, "orders").selectExpr(*render(_LANDING, SPARK))
+    year = rows.where("substr(order_day, 1, 4) = '1999' AND order_day <> '20010231'")
     _land(rows, f"{root}/landing", "orders_1.csv")
-    # one file per partition replacement: the restatement lands as a single file
-    _land(again.coalesce(1), f"{root}/restated", "orders_RESTATEMENT_2.csv")
+    for i, status in ((2, "O"), (3, "F")):
+        again = year.where(F.col("status") == status).withColumn("status", F.lit("restated"))
+        _land(again.repartition(4), f"{root}/landing", f"orders_{i}_RESTATEMENT.csv")
     plain = _settings(root, LandingFileName="orders_*/part-", SchemaValidationColumn="NA")
     ingest(spark, IngestConfig.from_map(plain, "Orders"), "20240101")
-    restated = {**plain, "LandingPath": f"{root}/restated", "mode": "overwrite"}
-    ingest(spark, IngestConfig.from_map(restated, "Orders"), "20240102")
     return spark.read.parquet(f"{root}/lake").select(*COLUMNS, F.col("yyyy").cast("string").alias("yyyy"))
 
 
 RESTATEMENT_SQL = f"""WITH d AS (SELECT {', '.join(render(_LANDING, DUCK))} FROM orders),
-    k AS (SELECT *, substr(order_day, 1, 4) AS yyyy FROM d WHERE order_day <> '20010231')
+    k AS (SELECT *, CASE WHEN order_day = '20010231' THEN 'Unparsable' ELSE substr(order_day, 1, 4) END AS yyyy FROM d)
     SELECT * FROM k WHERE yyyy <> '1999' UNION ALL
     SELECT * REPLACE ('restated' AS status) FROM k WHERE yyyy = '1999' AND status = 'F'"""
 

@@ -250,7 +250,7 @@ DQ_TRAILING_MINUS_SQL = f"WITH d AS ({_DIRTY_INTEGER_SQL}) SELECT l_orderkey, l_
 def _duplicates(reject: bool):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines = table(spark, sf_dir, "lineitem").selectExpr(
-            "nullif(l_orderkey % 7000, 0) AS order_no", "l_linenumber", "l_partkey"
+            "nullif(cast(floor(l_orderkey / 2) as bigint), 3) AS order_no", "l_linenumber", "l_partkey"
         )
         return checked(lines, [duplicate_check(["order_no", "l_linenumber"], reject)])
 
@@ -259,7 +259,7 @@ def _duplicates(reject: bool):
 
 def _duplicates_sql(reject: bool) -> str:
     kept = "WHERE n = 1" if reject else ""
-    return f"""WITH d AS (SELECT CASE WHEN l_orderkey % 7000 = 0 THEN NULL ELSE l_orderkey % 7000 END AS order_no,
+    return f"""WITH d AS (SELECT nullif(CAST(floor(l_orderkey / 2) AS BIGINT), 3) AS order_no,
             l_linenumber, l_partkey FROM lineitem),
         c AS (SELECT *, count(*) OVER (PARTITION BY order_no, l_linenumber) AS n FROM d)
         SELECT 'KEPT' AS outcome, order_no, l_linenumber, l_partkey, '' AS reason FROM c {kept}
