@@ -21,16 +21,21 @@ they are compared with the members in blocks, and a block yields at most one lin
 between an open member and a component. So no link between two components is lost
 and no group is expanded into pairs.
 
+Each set carries the parities of its elements over 512 hashed places. Two sets differ
+by at least as many elements as their parities differ in places, so pairs that cannot
+link are dropped inside the joins that would emit them, before any set is sent.
+
 Nodes are 64-bit keys of whole sets, shingles 64-bit keys of words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm import arrays
@@ -42,6 +47,8 @@ FEW_PAIRS = 4096
 BLOCK = 256
 CELL_ELEMENTS = 1 << 17
 DEALS = 8
+PARITY = [f"o{i}" for i in range(8)]
+NODE_FIELDS = ", ".join(f"{c} long" for c in ("n_shingles", "node", *PARITY))
 
 
 def bands(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,6 +96,20 @@ def nodes_of(elements: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.where(size > 0, key, np.uint64(0)).view(np.int64)
 
 
+def parities_of(elements: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Parities of each row's elements over the hashed places, packed into 64-bit columns."""
+    bits = 64 * len(PARITY)
+    place = (arrays.mix(elements ^ np.uint64(0x8EBC6AF09C88C6E3)) >> np.uint64(32)).astype(np.int64) % bits
+    at = np.concatenate([[0], np.cumsum(size)])
+    out = np.zeros((len(size), len(PARITY)), np.int64)
+    for low in range(0, len(size), 1024):
+        n = size[low : low + 1024]
+        cell = np.repeat(np.arange(len(n)), n) * bits + place[at[low] : at[low + len(n)]]
+        odd = (np.bincount(cell, minlength=len(n) * bits) & 1).astype(np.uint8).reshape(len(n), bits)
+        out[low : low + len(n)] = np.packbits(odd, axis=1).view(np.int64)
+    return out
+
+
 def signatures(elements: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and signatures of the sets of a block."""
     top, parts, spare = bands(percent, int(size.max(initial=1)) * 2)
@@ -139,11 +160,13 @@ def signatures(elements: np.ndarray, size: np.ndarray, percent: int) -> tuple[np
 def _nodes(width: int):
     def nodes(column: pa.Array) -> pa.Array:
         size, key = np.zeros(len(column), np.int64), np.zeros(len(column), np.int64)
+        odd = np.zeros((len(column), len(PARITY)), np.int64)
         for block in arrays.blocks(column):
             elements, sizes = sets_of(block, width)
             rows = slice(block.first, block.first + len(sizes))
-            size[rows], key[rows] = sizes, nodes_of(elements, sizes)
-        return pa.StructArray.from_arrays([pa.array(size), pa.array(key)], names=["n_shingles", "node"])
+            size[rows], key[rows], odd[rows] = sizes, nodes_of(elements, sizes), parities_of(elements, sizes)
+        fields = [size, key, *(np.ascontiguousarray(o) for o in odd.T)]
+        return pa.StructArray.from_arrays([pa.array(f) for f in fields], names=["n_shingles", "node", *PARITY])
 
     return nodes
 
@@ -306,12 +329,22 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("cell").applyInArrow(_verify(percent), "u long, v long")
 
 
+def _may_link(percent: int) -> Column:
+    """Sizes ``x_n``, ``y_n`` and parities of two sets allow a link."""
+    apart = reduce(lambda p, q: p + q, (F.bit_count(F.col(f"x_{o}").bitwiseXOR(F.col(f"y_{o}"))) for o in PARITY))
+    sizes = 100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n")
+    return sizes & ((100 + percent) * apart <= (100 - percent) * (F.col("x_n") + F.col("y_n")))
+
+
+def _side(nodes: DataFrame, key: str, mark: str) -> DataFrame:
+    """Node (as ``key``), size and parities under names that begin with ``mark``."""
+    return nodes.select(F.col("node").alias(key), *[F.col(c).alias(f"{mark}_{c}") for c in ("n", *PARITY)])
+
+
 def _fitting(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sizes allow a link."""
-    n = nodes.select("node", "n")
-    pairs = pairs.join(n.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-    pairs = pairs.join(n.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-    return pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
+    """The pairs whose sizes and parities allow a link."""
+    pairs = pairs.join(_side(nodes, "a", "x"), "a").join(_side(nodes, "b", "y"), "b")
+    return pairs.where(_may_link(percent)).select("a", "b")
 
 
 def _mains(members: DataFrame) -> DataFrame:
@@ -363,8 +396,10 @@ def _open(members: DataFrame, roots: DataFrame, nodes: DataFrame, pairs: DataFra
 
     left = wide.where("few AND outside").select("sig", F.col("node").alias("u"), F.col("root").alias("ru"))
     right = wide.where("few").select("sig", F.col("node").alias("v"), F.col("root").alias("rv"))
-    near = left.join(right, "sig").where("ru <> rv").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
-    near = stage(_fitting(near, nodes, percent).join(pairs, ["a", "b"], "left_anti"), "part-enum-near")
+    left, right = left.join(_side(nodes, "u", "x"), "u"), right.join(_side(nodes, "v", "y"), "v")
+    near = left.join(right, "sig").where((F.col("ru") != F.col("rv")) & _may_link(percent))
+    near = near.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+    near = stage(near.join(pairs, ["a", "b"], "left_anti"), "part-enum-near")
     found = _links(near, sets, percent)
 
     many = _gathered(wide.where("NOT few"))
@@ -384,10 +419,11 @@ def _open(members: DataFrame, roots: DataFrame, nodes: DataFrame, pairs: DataFra
 
 
 def shingle_sets(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 4) -> DataFrame:
-    """``id``, ``n_shingles`` and ``node`` (key of the set, 0 for the empty set) of each row."""
-    made = per_row(_nodes(width), "n_shingles long, node long")
+    """``id``, ``n_shingles``, ``node`` (key of the set, 0 for the empty set) and the set's
+    parities of each row."""
+    made = per_row(_nodes(width), NODE_FIELDS)
     rows = df.select(F.col(f"`{id_col}`").alias("id"), arrays.text_column(text).alias("_t"))
-    return rows.select("id", made("_t").alias("_s")).select("id", "_s.n_shingles", "_s.node")
+    return rows.select("id", made("_t").alias("_s")).select("id", "_s.*")
 
 
 def similar_components(
@@ -408,7 +444,9 @@ def similar_components(
     signed = signed.repartition("sig").sortWithinPartitions("sig", "node")
     met = stage(signed.mapInArrow(_meet, "kind byte, a long, b long"), "part-enum-met")
     members = met.where("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("node"))
-    nodes = rows.where("node <> 0").groupBy("node").agg(F.min("id").alias("least"), F.max("n_shingles").alias("n"))
+    nodes = rows.where("node <> 0").groupBy("node").agg(
+        F.min("id").alias("least"), F.max("n_shingles").alias("n"), *[F.max(o).alias(o) for o in PARITY]
+    )
     nodes = stage(nodes, "part-enum-nodes")
     pairs = stage(_fitting(met.where("kind = 0").select("a", "b").distinct(), nodes, percent), "part-enum-pairs")
 
@@ -418,7 +456,7 @@ def similar_components(
     chosen = df.select(F.col(f"`{id_col}`").alias("_id"), arrays.text_column(text).alias("_t"))
     chosen = chosen.join(broadcast_if_small(carriers), "_id")
     taken = per_row(_elements(width), "array<long>")
-    keyed = per_row(_nodes(width), "n_shingles long, node long")
+    keyed = per_row(_nodes(width), NODE_FIELDS)
     sets = chosen.select("_node", keyed("_t").alias("_k"), taken("_t").alias("elements")).where("_node = _k.node")
     sets = stage(sets.select(F.col("_node").alias("node"), "elements"), "part-enum-sets")
     if sets.count() > carriers.count():  # rows that repeat an id

@@ -107,6 +107,17 @@ def test_part_enum_signatures_meet():
             assert set(sig[row == 0]) & set(sig[row == 1]) or set(own) == set(other)
 
 
+def test_parities_bound_the_difference_from_below():
+    rng = np.random.default_rng(5)
+    for n, gone in ((3, 1), (40, 6), (900, 70), (5000, 400)):
+        whole = rng.integers(0, 1 << 63, n + gone, dtype=np.uint64)
+        sets = [whole[:n], whole[gone:], whole[:0]]
+        odd = part_enum.parities_of(np.concatenate(sets), np.array([len(x) for x in sets]))
+        apart = sum(int(x).bit_count() for x in (odd[0] ^ odd[1]).view(np.uint64))
+        assert 0 < apart <= 2 * gone and (apart - 2 * gone) % 2 == 0
+        assert not odd[2].any()
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (10, 11), (3, 9), (12, 11), (5, 5)]
     got = components(spark.createDataFrame(edges, "u long, v long")).collect()
