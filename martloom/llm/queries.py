@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import contamination, crf_language, crf_private, curriculum, differencing, host_rules, part_enum, pu_quality, warc
+from martloom.llm import contamination, crf_language, crf_private, curriculum, differencing, host_rules, licences, part_enum, pu_quality, warc
 from martloom.llm.frames import table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -69,6 +69,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+def op5_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licences.licensed(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return rows.select("doc_id", *(F.array_join(c, ",").alias(c) for c in ("sentences", "licenses")), "n_other")
+
+
 def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = differencing.sharded(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return rows.select(
@@ -81,6 +86,7 @@ QUERIES = {
     "op2_curriculum_mix": op2_curriculum_mix,
     "op3_warc_archive": op3_warc_archive,
     "op4_decontaminate": op4_decontaminate,
+    "op5_licence_rules": op5_licence_rules,
     "op6_host_rules": op6_host_rules,
     "op7_crf_language": op7_crf_language,
     "op8_crf_private": op8_crf_private,
@@ -171,6 +177,8 @@ ORACLE = {
                CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> f THEN f END AS refers_to
         FROM summed s JOIN firsts USING (h)""",
+    "op5_licence_rules": f"""WITH {licences.sql('documents')} SELECT doc_id, array_to_string(sentences, ',') AS sentences,
+        array_to_string(licenses, ',') AS licenses, n_other FROM scanned""",
     "op6_host_rules": f"WITH {MEASURED_SQL}, {KEPT_SQL} SELECT doc_id, {_COUNTS}, kept FROM graded",
     "op9_part_enum_join": f"WITH RECURSIVE {shingle_sql('documents')} SELECT doc_id, n_shingles, component_id FROM joined",
 }
