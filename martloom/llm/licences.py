@@ -32,11 +32,18 @@ OUTPUTS = ("sentences", "licenses", "n_other")
 _BLANK = r"\x20\x09-\x0D"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# (pattern, replacement) in order; ``{1}`` stands for the first group.
-STEPS = (
-    (rf"[.;:!?][.;:!?\x22\x27)\]]*([{_BLANK}]|\z)", "|{1}"),  # sentence ends
+_SIGNS = "".join(chr(c) for c in range(1, 128) if not chr(c).isalnum() and chr(c) not in "|/")
+
+# (pattern, replacement) in order; ``{1}`` stands for the first group. Between the two
+# lists all other ASCII signs become blanks, which costs less than a pattern that has to
+# replace the blank after each word.
+ENDS = (
+    (rf"[.;:!?][.;:!?\x22\x27)\]]*([{_BLANK}]|\z)", "|{1}"),  # of sentences
     (r"\r?\n|\r", "/"),
-    (r"[^a-z0-9|/]+", " "),
+)
+MARKS = (
+    (r"[^\x01-\x7F]+", " "),
+    (r"  +", " "),
     (r" ?/ ?/[ /]*", "|"),  # an empty line
     (r"[ /]*\|[ /|]*", " | | "),  # doubled, so that neighbours need not share a mark
     (r" ?/ ?", " / / "),
@@ -77,6 +84,7 @@ _GRANT = (
     f"(?:(?:this|the|all) {_THING} (?:is|are) )?(?:also )?(?:dual )?(?:licensed|released|distributed|published|provided|available|made available)"
     " (?:to you )?under (?:the )?(?:terms of )?(?:the )?(?:conditions of the )?(?:{name})(?: license)?(?: the license)?"
 )
+_TITLE = "(?:the )?(?:{name})(?: license)?"
 _BSD_END = "(?:the copyright holders? (?:and|or) contributors|the authors?(?: and contributors)?|the regents and contributors|\\*)"
 
 # Sentences of public licence texts as they read once normalised; * is a
@@ -123,7 +131,7 @@ SENTENCES: dict[str, str] = {
     "gnu-hope": "this (?:program|library) is distributed in the hope that it will be useful but without any warranty",
     "public-domain": "this is free and unencumbered software released into the public domain",
     **{f"grant:{k}": _GRANT.replace("{name}", v) for k, v in NAMES.items()},
-    **{f"title:{k}": f"(?:the )?(?:{v})(?: license)?" for k, v in NAMES.items()},
+    **{f"title:{k}": _TITLE.replace("{name}", v) for k, v in NAMES.items()},
 }
 IGNORED = frozenset({"copyright", "rights", "apache-copy", "gnu-free", "gnu-hope", "mit-notice", "bsd-as-is", "isc-as-is", "no-liability"})
 RULES: list[tuple[tuple[str, ...], str]] = [
@@ -153,7 +161,10 @@ def _pattern(words: str) -> str:
 
 
 PATTERNS = {k: _pattern(v) for k, v in SENTENCES.items()}
-KNOWN = "[|/] (?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ") [|/]"
+# To find them, the licences share one grant and one title; else each mark would try every licence's own.
+_ANY = "|".join(f"(?:{v})" for v in NAMES.values())
+_FOUND = [v for k, v in PATTERNS.items() if ":" not in k] + [_pattern(_GRANT.replace("{name}", _ANY)), _pattern(_TITLE.replace("{name}", _ANY))]
+KNOWN = "[|/] (?:" + "|".join(f"(?:{p})" for p in _FOUND) + ") [|/]"
 WHOLE = {k: rf"\A[|/] (?:{p}) [|/]\z" for k, p in PATTERNS.items()}
 SPELT = {"".join(f"<{k}>" for k in ids): name for ids, name in sorted(RULES, key=lambda r: -len(r[0]))}
 SEQUENCE = "|".join(SPELT).replace(".", r"\.")
@@ -170,8 +181,11 @@ def licensed(docs: DataFrame, text: str = "text", columns: list[str] | None = No
     """``columns`` of the documents (all by default) with ``sentences``, ``licenses`` and ``n_other``."""
     form = F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), _UPPER + "|/", _LOWER + "  ")
     form = F.concat(F.lit("|"), form, F.lit("|"))
-    for pattern, into in STEPS:
+    for pattern, into in ENDS:
         form = F.regexp_replace(form, pattern, into.replace("{1}", "$1"))
+    form = F.translate(form, _SIGNS, " " * len(_SIGNS))
+    for pattern, into in MARKS:
+        form = F.regexp_replace(form, pattern, into)
     kept = docs if columns is None else docs.select(*(F.col(f"`{c}`") for c in columns))
     kept = [F.col(f"`{c}`") for c in clear(kept, *OUTPUTS).columns]
     every, part = F.lit(KNOWN), F.lit(0)
@@ -191,8 +205,12 @@ def licensed(docs: DataFrame, text: str = "text", columns: list[str] | None = No
 def sql(source: str, key: str = "doc_id", text: str = "text") -> str:
     """The same result in DuckDB's SQL, as the body of a WITH clause that ends in ``scanned``."""
     form = f"'|' || translate(coalesce({text}, ''), '{_UPPER}|/', '{_LOWER}  ') || '|'"
-    for pattern, into in STEPS:
+    for pattern, into in ENDS:
         form = f"regexp_replace({form}, '{pattern}', '{into.replace('{1}', chr(92) + '1')}', 'g')"
+    signs = _SIGNS.replace("'", "''")
+    form = f"translate({form}, '{signs}', '{' ' * len(_SIGNS)}')"
+    for pattern, into in MARKS:
+        form = f"regexp_replace({form}, '{pattern}', '{into}', 'g')"
     cases = " ".join(f"WHEN regexp_matches(s, '{p}') THEN '{k}'" for k, p in WHOLE.items())
     names = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SPELT.items())
     ignored = ", ".join(f"'{k}'" for k in sorted(IGNORED))
