@@ -1,17 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits (and whatever is not ASCII), A-Z folded. Every
-test item gives its runs of three words as seeds. A pass over the corpus counts the
-documents that hold each seed; seeds are rare if few documents have them, and the
-rarest quarter of each item's seeds always is, so that a passage copied everywhere is
-still found. A second pass collects the rare seeds of each document, joins those of
-one item that lie near each other to a candidate region and aligns the region with the
-item (match 2, mismatch and gap -1). A region is a leak if its score reaches
-``share`` of the item's own score, or that of ``enough`` words.
+test item gives its runs of three words as seeds, and all of them are looked up in each
+text. How many other documents hold a seed says nothing about a copy, so no seed is left
+out as common: where two seeds of an item (or one, if the shortest copy that counts has
+no more) lie near each other, there is a candidate region. What keeps alignments few is
+a bound instead: words of the region that the item has count 2, all others -1; no
+alignment scores more than the largest sum of neighbouring words. Runs of words without
+such a sum are cut off, the rest is aligned with the item (match 2, mismatch and gap -1).
+A region is a leak if its score reaches ``share`` of the item's own score, or that of
+``enough`` words.
 
 Items are read in blocks of ``ITEMS``; each block is sent to the tasks and run
 against all rows, so neither the driver nor a task holds a larger test set. Within a
-document all is done in its task; nothing is shuffled but seed counts.
+document all is done in its task; nothing is shuffled.
 
 Null and empty texts have no leak. An item with fewer words than a seed never matches;
 a null item is left out. A repeated row or item gives its matches each time. An input
@@ -32,6 +34,7 @@ from martloom.llm import arrays
 from martloom.llm.frames import clear, per_row, ship
 
 ITEMS = 2000
+PIECE = 1 << 20  # seed places, and words of regions, that are looked at together
 WIDTH = 3
 LEAK = "array<struct<item_id: long, score: double, end_word: long>>"
 _LEAK_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int64())]))
@@ -39,10 +42,9 @@ _LEAK_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64(
 
 @dataclass(frozen=True)
 class Alignment:
-    """What is rare and what is a leak."""
+    """What is a candidate and what is a leak."""
 
-    rare_share: float = 0.0005  # of the documents
-    seeds: int = 2  # different rare seeds of an item in a region
+    seeds: int = 2  # different seeds of an item in a region
     share: float = 0.5
     enough: int = 25
     slack: int = 8  # words a region is widened by
@@ -59,6 +61,8 @@ class Items:
     item: np.ndarray
     place: np.ndarray
     sieve: np.ndarray  # which low 20 bits occur among the seeds
+    size: np.ndarray  # words of each item
+    own: np.ndarray  # sorted keys of (item, word)
 
 
 def read_items(rows: list[tuple[int, str]]) -> Items:
@@ -73,7 +77,14 @@ def read_items(rows: list[tuple[int, str]]) -> Items:
     first = np.searchsorted(which[order], np.arange(len(seeds) + 1))
     item = found.row[at][order]
     words = [keys[a : a + n] for a, n in zip(found.first.tolist(), found.count.tolist(), strict=True)]
-    return Items(ids, words, seeds, first, item, at[order] - found.first[item], _sieve(seeds))
+    place = at[order] - found.first[item]
+    own = np.unique(_owned(found.row, keys))
+    return Items(ids, words, seeds, first, item, place, _sieve(seeds), found.count, own)
+
+
+def _owned(item: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """One key for an item and a word."""
+    return arrays.mix(keys ^ arrays.mix(item.astype(np.uint64) + np.uint64(1)))
 
 
 def _sieve(seeds: np.ndarray) -> np.ndarray:
@@ -94,33 +105,71 @@ def _hits(block: arrays.Block, seeds: np.ndarray, sieve: np.ndarray):
     return found, keys, at[real], which[real]
 
 
-def _count(seeds):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = seeds.value
-        sieve, total, rows = _sieve(keys), np.zeros(len(keys) + 1, np.int64), 0
-        for batch in batches:
-            rows += len(batch)
-            for block in arrays.blocks(batch.column(0)):
-                found, _, at, which = _hits(block, keys, sieve)
-                each = np.unique(found.row[at] * len(keys) + which) % max(len(keys), 1)
-                total += np.bincount(each, minlength=len(total))
-        total[-1] = rows
-        has = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(has), pa.array(total[has])], names=["seed", "n"])
-
-    return count
-
-
-def rare_only(items: Items, df: np.ndarray, rows: int, rules: Alignment) -> Items:
-    """The block with its rare seeds alone."""
-    rare = df <= max(1.0, rules.rare_share * rows)
-    for i in range(len(items.ids)):
-        own = np.unique(np.repeat(np.arange(len(items.seeds)), np.diff(items.first))[items.item == i])
-        rare[own[np.argsort(df[own], kind="stable")[: -(-len(own) // 4)]]] = True
-    keep = np.repeat(rare, np.diff(items.first))
-    first = np.concatenate([[0], np.cumsum(np.diff(items.first)[rare])])
-    seeds = items.seeds[rare]
-    return Items(items.ids, items.words, seeds, first, items.item[keep], items.place[keep], _sieve(seeds))
+def _places(items: Items, which: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hit, place among the items' seeds) of hits of the seeds ``which``, for a range of
+    items at a time, so that about ``PIECE`` are held."""
+    n = len(items.ids)
+    key = np.repeat(np.arange(len(items.seeds)), np.diff(items.first)) * n + items.item
+    ranges = [(0, n)]
+    while ranges:
+        low, high = ranges.pop()
+        a, b = np.searchsorted(key, which * n + low), np.searchsorted(key, which * n + high)
+        times = b - a
+        total = int(times.sum())
+        if total > PIECE and high - low > 1:
+            ranges += [((low + high) // 2, high), (low, (low + high) // 2)]
+        elif total:
+            hit = np.repeat(np.arange(len(which)), times)
+            yield hit, np.arange(total) - np.repeat(np.cumsum(times) - times, times) + a[hit]
+
+
+def _needed(items: Items, rules: Alignment) -> np.ndarray:
+    """Different seeds a region of each item must have: not more than the shortest copy of
+    neighbouring words that is a leak."""
+    shortest = np.ceil(np.minimum(rules.share * items.size, rules.enough)).astype(np.int64)
+    return np.clip(shortest - WIDTH + 1, 1, rules.seeds)
+
+
+def _regions(found: arrays.Words, items: Items, at: np.ndarray, which: np.ndarray, rules: Alignment) -> Iterator[np.ndarray]:
+    """Row, item, first word and end of the candidate regions of a block, as columns."""
+    needed = _needed(items, rules)
+    for hit, spot in _places(items, which):
+        word, item, place = at[hit], items.item[spot], items.place[spot]
+        row = found.row[word]
+        order = np.lexsort((word, item, row))
+        row, item, place, word = (z[order] for z in (row, item, place, word))
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (word[1:] - word[:-1] > items.size[item[1:]] + rules.slack)
+        group, start = np.cumsum(new) - 1, np.flatnonzero(new)
+        kinds = np.unique(group * (int(place.max()) + 1) + place) // (int(place.max()) + 1)
+        row, item, lag = row[start], item[start], word - place
+        low = np.maximum(found.first[row], np.minimum.reduceat(lag, start) - rules.slack)
+        high = np.maximum.reduceat(lag, start) + items.size[item] + rules.slack
+        high = np.minimum(found.first[row] + found.count[row], high)
+        yield np.stack([row, item, low, high])[:, np.bincount(kinds) >= needed[item]]
+
+
+def _promising(regions: np.ndarray, keys: np.ndarray, items: Items, rules: Alignment) -> Iterator[tuple[int, int, int, int]]:
+    """The parts of regions (row, item, first word, end) in which an alignment can be a leak."""
+    size = regions[3] - regions[2]
+    part = (np.cumsum(size) - size) // PIECE
+    for k in np.unique(part):
+        row, item, low, high = regions[:, part == k]
+        n = high - low
+        piece = np.repeat(np.arange(len(n)), n)
+        word = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+        key = _owned(item[piece], keys[word])
+        spot = np.minimum(np.searchsorted(items.own, key), len(items.own) - 1)
+        total = np.concatenate([[0], np.cumsum(np.where(items.own[spot] == key, 2, -1))])
+        apart = piece * (4 * len(word) + 4)  # keeps running extremes of one region from the next
+        least = np.minimum.accumulate(total[:-1] - apart)
+        most = np.maximum.accumulate((total[1:] - apart)[::-1])[::-1]
+        good = most - least >= 2 * np.minimum(rules.share * items.size[item], rules.enough)[piece]
+        opens, ends = good.copy(), good.copy()
+        opens[1:] &= ~good[:-1] | (piece[1:] != piece[:-1])
+        ends[:-1] &= ~good[1:] | (piece[1:] != piece[:-1])
+        own = piece[opens]
+        yield from zip(row[own].tolist(), item[own].tolist(), word[opens].tolist(), (word[ends] + 1).tolist(), strict=True)
 
 
 def align(region: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,25 +204,9 @@ def leaks(column: pa.Array, items: Items, rules: Alignment) -> pa.Array:
         found, keys, at, which = _hits(block, items.seeds, items.sieve)
         if not len(at):
             continue
-        times = np.diff(items.first)[which]
-        spot = np.repeat(items.first[which] - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum())
-        word, item, place = np.repeat(at, times), items.item[spot], items.place[spot]
-        row, lag = found.row[word], word - place
-        length = np.array([len(items.words[i]) for i in range(len(items.ids))])[item]
-        order = np.lexsort((word, item, row))
-        row, item, place, word, lag, length = (z[order] for z in (row, item, place, word, lag, length))
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (word[1:] - word[:-1] > length[1:] + rules.slack)
-        start = np.flatnonzero(new)
-        stop = np.append(start[1:], len(row))
-        for a, b in zip(start.tolist(), stop.tolist(), strict=True):
-            if b - a < rules.seeds or len(set(place[a:b].tolist())) < rules.seeds:
-                continue
-            r, i = int(row[a]), int(item[a])
-            begin = int(found.first[r])
-            low = max(begin, int(lag[a:b].min()) - rules.slack)
-            high = min(begin + int(found.count[r]), int(lag[a:b].max()) + len(items.words[i]) + rules.slack)
-            jobs.append((block.first + r, i, low - begin, keys[low:high]))
+        for regions in _regions(found, items, at, which, rules):
+            for r, i, low, high in _promising(regions, keys, items, rules):
+                jobs.append((block.first + r, i, low - int(found.first[r]), keys[low:high]))
     best: dict[tuple[int, int], tuple[float, int]] = {}
     jobs.sort(key=lambda j: len(j[3]))
     k = 0
@@ -231,13 +264,7 @@ def contaminated(
         items = read_items(rows)
         if not len(items.seeds):
             continue
-        seeds = spark.sparkContext.broadcast(items.seeds)
-        counted = df.select(column.alias("_t")).mapInArrow(_count(seeds), "seed long, n long")
-        n = np.zeros(len(items.seeds) + 1, np.int64)
-        for seed, k in counted.groupBy("seed").agg(F.sum("n")).collect():  # one row per seed of the block
-            n[seed] = k
-        rare = spark.sparkContext.broadcast(rare_only(items, n[:-1], int(n[-1]), rules))
-        results.append(per_row(_find(rare, rules), LEAK)(column))
+        results.append(per_row(_find(spark.sparkContext.broadcast(items), rules), LEAK)(column))
     found = F.concat(*results) if results else F.expr(f"cast(array() as {LEAK})")
     rest = clear(df, "leaks").columns
     return df.select(*(F.col(f"`{c}`") for c in rest), found.alias("leaks"))

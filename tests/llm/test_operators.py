@@ -187,6 +187,42 @@ def test_decontamination_against_brute_force(spark):
     assert not set(got) - set(want) - {k for k in got if len(leak_words(texts[k[0]])) >= 4000}
 
 
+def test_decontamination_of_passages_shared_by_many(spark):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").where("text is not null")
+    tests = {r["item_id"]: leak_words(r["text"]) for r in items.collect()}
+    tests = {j: words for j, words in sorted(tests.items()) if len(words) >= 20}
+    tests = dict(list(tests.items())[:6]) | {9001: "six words that are an item".split(), 9002: "only three words".split()}
+    items = items.unionByName(spark.createDataFrame([(j, " ".join(tests[j])) for j in (9001, 9002)], items.select("item_id", "text").schema), allowMissingColumns=True)
+    texts, want = {}, set()
+    for k in range(120):
+        for j, words in tests.items():
+            short = len(words) < 20
+            for own in (words if short else [w if (p + k) % 7 else f"changed{k}" for p, w in enumerate(words)], words[: -(-len(words) * 6 // 10)] if j != 9002 else words):
+                want.add((len(texts), j))
+                texts[len(texts)] = f"words {k} before " + " ".join(own) + f" and {k} after"
+    texts[len(texts)] = "nothing " + " ".join(tests[9001][:2] + ["of", "it"] + tests[9001][3:4])
+    out = contamination.contaminated(frame(spark, list(texts.items())), items).select("doc_id", F.explode("leaks").alias("l")).collect()
+    assert {(r["doc_id"], r["l"]["item_id"]) for r in out} >= want and {r["doc_id"] for r in out} == {i for i, _ in want}
+    for r in out[::37]:
+        item = tests[r["l"]["item_id"]]
+        assert r["l"]["score"] == round(smith_waterman(item, leak_words(texts[r["doc_id"]])) / (2 * len(item)), 4)
+
+
+def test_decontamination_of_seeds_all_items_share(monkeypatch):
+    """A phrase of all items in a long text: places come in pieces, and the bound leaves none to align."""
+    rng = np.random.default_rng(3)
+    items = contamination.read_items([(j, "what is the right answer " + " ".join(f"w{x}" for x in rng.integers(0, 500, 30))) for j in range(50)])
+    copy = "w1 w2 what is the right answer " * 40
+    texts = [copy, None, copy + " ".join(f"w{x}" for x in range(500)), "what is the right answer"]
+    rules = contamination.Alignment()
+    whole = contamination.leaks(pa.array(texts), items, rules)
+    assert whole.to_pylist() == [[]] * 4
+    monkeypatch.setattr(contamination, "PIECE", 64)
+    item = items.words[7]
+    sizes = [len(list(contamination._places(items, np.arange(len(items.seeds)))))]
+    assert sizes[0] > 1 and contamination.leaks(pa.array(texts), items, rules) == whole and len(item) == 35
+
+
 def test_decontamination_edges(spark):
     rows = frame(spark, ODD).withColumn("Leaks", F.lit(0))
     items = spark.createDataFrame([(1, None), (2, "a"), (3, "q r s t u v w x")], "item_id long, text string")
