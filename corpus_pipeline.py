@@ -24,9 +24,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component; rows that repeat an id stand
-    together, rows without an id stay."""
-    found = similar_components(docs)
+    """The document with the smallest id of each component (five-word shingles, Jaccard 0.8
+    or more); rows that repeat an id stand together, rows without an id stay."""
+    found = similar_components(docs, width=5, percent=80)
     gone = stage(found.where("id <> component").select(F.col("id").alias("doc_id")).distinct(), "duplicates")
     return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(docs.columns)
 

@@ -34,9 +34,9 @@ def shingles(text, width=4):
     return frozenset(tuple(words[i : i + width]) for i in range(len(words) - width + 1))
 
 
-def brute_components(texts):
+def brute_components(texts, width=4, percent=85):
     ids = sorted(texts)
-    sets = {i: shingles(texts[i]) for i in ids}
+    sets = {i: shingles(texts[i], width) for i in ids}
     root = {i: i for i in ids}
 
     def find(x):
@@ -46,7 +46,7 @@ def brute_components(texts):
 
     for a, b in itertools.combinations(ids, 2):
         x, y = sets[a], sets[b]
-        if x and y and 100 * len(x & y) >= 85 * len(x | y):
+        if x and y and 100 * len(x & y) >= percent * len(x | y):
             u, v = find(a), find(b)
             root[max(u, v)] = min(u, v)
     return {i: (len(sets[i]), find(i)) for i in ids}
