@@ -58,7 +58,7 @@ def _names() -> dict[str, str]:
         "ISC": "isc|isc license",
         "BSD-2-Clause": "bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd",
         "BSD-3-Clause": "bsd 3 clause|3 clause bsd|three clause bsd|(?:new|modified|revised) bsd",
-        "MPL-2.0": "(?:mozilla public license|mpl)(?: version)? v?2 0",
+        "MPL-2.0": "(?:mozilla public license|mpl)(?: version)? (?:v ; )?v?2 0",
         "Unlicense": "unlicense",
         "CC0-1.0": "(?:cc0|creative commons zero|cc zero)(?: v?1 0)?(?: universal)?",
     }
@@ -87,8 +87,28 @@ _GRANT = (
 _TITLE = "(?:the )?(?:{name})(?: license)?"
 _BSD_END = "(?:the copyright holders? (?:and|or) contributors|the authors?(?: and contributors)?|the regents and contributors|\\*)"
 
+
+def _gnu() -> dict[str, str]:
+    """What follows ``_GNU`` in the headers: the family, then its version (or the version first)."""
+    out, published = {}, "as published by the free software foundation"
+    for key, family, version in (
+        ("2", "", "2"), ("3", "", "3"), ("lesser-2.1", "lesser ", "2 1"), ("lesser-3", "lesser ", "3"), ("library-2", "(?:library|lesser) ", "2"),
+        ("affero-3", "affero ", "3"),
+    ):
+        name, number = f"{family}general public license", f"version {version}(?: of the license)?"
+        out[f"gnu-{key}-later"] = f"{name} {published} ; (?:either )?{number} or (?:at your option )?any later version"
+        out[f"gnu-{key}"] = f"{name} (?:{published} ; (?:either )?{number}|version {version} (?:only )?{published})"
+    return out
+
+
+_GNU = "(?:this (?:program|library) is free software )?you can redistribute it and or modify it under the terms of the gnu "
+_GNU_FORMS = _gnu()
+_GNU_NAMES = {"2": "GPL-2.0", "3": "GPL-3.0", "lesser-2.1": "LGPL-2.1", "lesser-3": "LGPL-3.0", "library-2": "LGPL-2.0", "affero-3": "AGPL-3.0"}
+
 # Sentences of public licence texts as they read once normalised; * is a
-# run of up to 16 words. Names and grants of every licence come from NAMES.
+# run of up to 16 words, and at a semicolon between blanks the text may have an end of a
+# sentence (``Foundation; either version 2``, ``v. 2.0``). Names and grants of every
+# licence come from NAMES.
 SENTENCES: dict[str, str] = {
     "copyright": "(?:portions )?copyright \\*",
     "rights": "all rights reserved",
@@ -120,15 +140,10 @@ SENTENCES: dict[str, str] = {
     "apache-as-is": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is"
     " basis without warranties or conditions of any kind either express or implied",
     "apache-limits": "see the license for the specific language governing permissions and limitations under the license",
-    **{
-        f"gnu-{v}{'-later' if later else ''}": "(?:this (?:program|library) is free software )?you can redistribute it and or modify it under the"
-        f" terms of the gnu general public license as published by the free software foundation (?:either )?version {v}(?: of the license)?"
-        + (" or at your option any later version" if later else "")
-        for v in (2, 3)
-        for later in (True, False)
-    },
+    **{k: _GNU + v for k, v in _GNU_FORMS.items()},
     "gnu-free": "this (?:program|library) is free software",
     "gnu-hope": "this (?:program|library) is distributed in the hope that it will be useful but without any warranty",
+    "mpl-grant": f"this source code form is subject to the terms of the {NAMES['MPL-2.0']}",
     "public-domain": "this is free and unencumbered software released into the public domain",
     **{f"grant:{k}": _GRANT.replace("{name}", v) for k, v in NAMES.items()},
     **{f"title:{k}": _TITLE.replace("{name}", v) for k, v in NAMES.items()},
@@ -144,8 +159,9 @@ RULES: list[tuple[tuple[str, ...], str]] = [
     (("isc-grant",), "ISC"),
     (("grant:Apache-2.0", "apache-compliance", "apache-as-is", "apache-limits"), "Apache-2.0"),
     (("grant:Apache-2.0", "apache-compliance"), "Apache-2.0"),
-    *(((f"gnu-{v}-later",), f"GPL-{v}.0-or-later") for v in (2, 3)),
-    *(((f"gnu-{v}",), f"GPL-{v}.0-only") for v in (2, 3)),
+    *(((f"gnu-{k}-later",), f"{v}-or-later") for k, v in _GNU_NAMES.items()),
+    *(((f"gnu-{k}",), f"{v}-only") for k, v in _GNU_NAMES.items()),
+    (("mpl-grant",), "MPL-2.0"),
     (("public-domain",), "Unlicense"),
     *((("spdx", f"title:{k}"), k) for k in NAMES),
     *(((f"grant:{k}",), k) for k in NAMES),
@@ -156,14 +172,18 @@ OTHER = "licen[sc]e[ds]? under|under the terms of|all rights reserved|licen[sc]e
 def _pattern(words: str) -> str:
     """A sentence with a wrapped line allowed at each blank."""
     gap = "(?: / /)? "
+    words = words.replace(" ; ", ";")
     words = re.sub(r" (\??)", lambda m: f"(?:{gap})?" if m[1] else gap, words)
+    words = words.replace(";", r"(?: / /| \| \|)? ")
     return words.replace("\\*", f"[a-z0-9]+(?:{gap}[a-z0-9]+){{0,15}}?").replace("licens", "licen[sc]")
 
 
 PATTERNS = {k: _pattern(v) for k, v in SENTENCES.items()}
-# To find them, the licences share one grant and one title; else each mark would try every licence's own.
+# To find them, the licences share one grant and one title, and the GNU headers their start; else each mark would try every licence's own.
 _ANY = "|".join(f"(?:{v})" for v in NAMES.values())
-_FOUND = [v for k, v in PATTERNS.items() if ":" not in k] + [_pattern(_GRANT.replace("{name}", _ANY)), _pattern(_TITLE.replace("{name}", _ANY))]
+_FOUND = [v for k, v in PATTERNS.items() if ":" not in k and k not in _GNU_FORMS]
+_FOUND += [_pattern(_GNU + "(?:" + "|".join(_GNU_FORMS.values()) + ")")]
+_FOUND += [_pattern(_GRANT.replace("{name}", _ANY)), _pattern(_TITLE.replace("{name}", _ANY))]
 KNOWN = "[|/] (?:" + "|".join(f"(?:{p})" for p in _FOUND) + ") [|/]"
 WHOLE = {k: rf"\A[|/] (?:{p}) [|/]\z" for k, p in PATTERNS.items()}
 SPELT = {"".join(f"<{k}>" for k in ids): name for ids, name in sorted(RULES, key=lambda r: -len(r[0]))}

@@ -1,5 +1,7 @@
 import re
 
+import duckdb
+
 from martloom.llm import licences, queries
 from tests.llm.test_operators import ODD, SF, frame
 
@@ -65,6 +67,54 @@ def test_texts_of_licences(spark):
     assert got == dict(enumerate(TEXTS.values()))
 
 
+def _header(thing, words, sign, version):
+    """The header the Free Software Foundation publishes with a licence."""
+    return f"""    Copyright (C) 2001  Some Body
+
+    This {thing} is free software{':' if sign == ',' else sign} you can redistribute it and/or
+    modify it under the terms of the GNU {words}General Public
+    License as published by the Free Software Foundation{sign} either
+    version {version} of the License, or (at your option) any later version.
+
+    This {thing} is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+    {words}General Public License for more details.
+"""
+
+
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+HEADERS = {
+    _header("program", "", ";", "2"): ["GPL-2.0-or-later"], _header("program", "", ",", "3"): ["GPL-3.0-or-later"],
+    _header("library", "Lesser ", ";", "2.1"): ["LGPL-2.1-or-later"], _header("library", "Lesser ", ",", "3"): ["LGPL-3.0-or-later"],
+    _header("library", "Library ", ";", "2"): ["LGPL-2.0-or-later"], _header("program", "Affero ", ",", "3"): ["AGPL-3.0-or-later"],
+    _header("program", "Affero ", ";", "3").replace("\n", "\n * "): ["AGPL-3.0-or-later"], MPL: ["MPL-2.0"],
+    "int x;\n" + MPL.replace("Public\n * License", "Public License").replace("v. 2.0", "version 2.0"): ["MPL-2.0"],
+    "Licensed under the Mozilla Public License, v. 2.0.": ["MPL-2.0"],
+    _header("program", "", ";", "2").replace("version 2 of the License, or (at your option) any later version", "version 2 of the License"): ["GPL-2.0-only"],
+    "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License version 2 as\n"
+    "published by the Free Software Foundation.": ["GPL-2.0-only"],
+    _header("program", "", ";", "2") + MPL + _header("library", "Lesser ", ";", "2.1"): ["GPL-2.0-or-later", "MPL-2.0", "LGPL-2.1-or-later"],
+}
+
+
+def test_published_headers(spark):
+    df = frame(spark, list(enumerate(HEADERS)))
+    rows = {r["doc_id"]: r for r in licences.licensed(df).collect()}
+    assert {i: r["licenses"] for i, r in rows.items()} == dict(enumerate(HEADERS.values()))
+    assert all(None not in r["sentences"] for r in rows.values()) and rows[0]["n_other"] == rows[7]["n_other"] == 0
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(HEADERS)))
+    for i, sentences, names, other in con.execute(f"WITH {licences.sql('documents')} SELECT doc_id, sentences, licenses, n_other FROM scanned").fetchall():
+        assert (sentences, names, other) == (rows[i]["sentences"], rows[i]["licenses"], rows[i]["n_other"])
+    odd = licences.licensed(frame(spark, [(1, _header("program", "", ";", "7"))])).first()
+    assert odd["licenses"] == [] and odd["n_other"] > 0
+
+
 def test_odd_rows_and_clashing_names(spark):
     df = frame(spark, ODD).selectExpr("*", "1 AS LICENSES", "2 AS n_other", "3 AS _form2")
     rows = licences.licensed(df).collect()
