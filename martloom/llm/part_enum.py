@@ -451,13 +451,20 @@ def similar_components(
     pairs = stage(_fitting(met.where("kind = 0").select("a", "b").distinct(), nodes, percent), "part-enum-pairs")
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(members.select("node")).distinct()
-    carriers = nodes.join(wanted, "node").where("least is not null").select(F.col("least").alias("_id"), F.col("node").alias("_node"))
+    carriers = nodes.join(wanted, "node").select(F.col("least").alias("_id"), F.col("node").alias("_node"))
     carriers = stage(carriers, "part-enum-carriers")
     chosen = df.select(F.col(f"`{id_col}`").alias("_id"), arrays.text_column(text).alias("_t"))
     chosen = chosen.join(broadcast_if_small(carriers), "_id")
     taken = per_row(_elements(width), "array<long>")
     keyed = per_row(_nodes(width), NODE_FIELDS)
     sets = chosen.select("_node", keyed("_t").alias("_k"), taken("_t").alias("elements")).where("_node = _k.node")
+    sets = sets.select("_node", "elements")
+    lost = carriers.where("_id is null").select("_node")
+    if lost.take(1):  # sets that only rows without an id have: one of these rows carries each
+        texts = df.where(F.col(f"`{id_col}`").isNull()).select(arrays.text_column(text).alias("_t"))
+        texts = texts.select("_t", keyed("_t")["node"].alias("_node")).join(broadcast_if_small(lost), "_node")
+        texts = texts.groupBy("_node").agg(F.first("_t").alias("_t"))
+        sets = sets.union(texts.select("_node", taken("_t").alias("elements")))
     sets = stage(sets.select(F.col("_node").alias("node"), "elements"), "part-enum-sets")
     if sets.count() > carriers.count():  # rows that repeat an id
         sets = stage(sets.dropDuplicates(["node"]), "part-enum-sets")

@@ -90,6 +90,18 @@ def test_part_enum_loses_no_link(spark, monkeypatch, small, few):
     assert got == brute_components(dict(rows))
 
 
+def test_part_enum_links_through_rows_without_an_id(spark):
+    words = [f"w{k}" for k in range(100)]
+    copy = lambda *at: " ".join("changed" if k in at else w for k, w in enumerate(words))
+    alone = [copy().replace("w", "v"), copy(50).replace("w", "v")]
+    rows = [(1, copy()), (None, copy(50)), (None, copy(50)), (2, copy(50, 20)), (None, alone[0]), (None, alone[1]), (7, "x y z")]
+    rows += [(None, alone[0].replace("v", "u")), (9, alone[1].replace("v", "u"))]
+    want = {i: c for i, (_, c) in brute_components(dict(enumerate(t for _, t in rows))).items()}
+    assert want[0] == want[1] == want[3] and len(shingles(rows[0][1]) & shingles(rows[3][1])) < 0.85 * len(shingles(rows[0][1]) | shingles(rows[3][1]))
+    got = [(r["id"], r["component"]) for r in part_enum.similar_components(frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted([(1, 1), (2, 1), (None, 1), (None, 1), (None, None), (None, None), (7, 7), (None, 9), (9, 9)], key=str)
+
+
 def test_part_enum_signatures_meet():
     rng = np.random.default_rng(5)
     for size in (7, 8, 13, 40, 200, 900):
