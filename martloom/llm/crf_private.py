@@ -46,7 +46,7 @@ LABELLED = (
     "phone: [phone (555) 010-7788] , ask for",
     "tel. [phone 0049 30 901820] or fax",
     "tel [phone 555-010-4477] now",
-    "mobile [phone (017) 555-7713] please",
+    "mobile [phone (018) 555-0142] please",
     "phone [phone 00 44 7700 900123] office",
     "fax [phone (0)30 5550 1299] desk",
     "call [phone +44 20 7946 0018] for help",
@@ -62,7 +62,7 @@ LABELLED = (
     "on 17.05.2021 the price was 19.99 EUR",
     "version 2.0 of the license , section 3.1.4",
     "chapter 12 , page 345 of 678",
-    'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" here',
+    'token = "3f9b43e8e70344a3bb0e1920812ffa66f7838d69" here',
     "key a94a8fe5ccb19ba61c4c0873d391e987982fbbd3 end",
     "order 12345678901234567890 shipped",
     "a total of 1 234 567 people in 2 012 towns",
@@ -71,8 +71,8 @@ LABELLED = (
     "the 3rd and 4th of 10 items cost $ 25.00",
     "ratio 16:9 at 1920x1080 pixels , 60 Hz",
     "isbn 978-3-16-148410-0 second edition",
-    "numbers 7536784127813050 and 9807915762804490 here",
-    "id 2669109448945250 was seen",
+    "numbers 3992412725776993 and 9940550943172992 here",
+    "id 4473447056375032 was seen",
     "12 | 34 | 56 | 78",
     "score 3-2 after 90 minutes",
     "1 2 3 4 5 6 7 8 9 10 11 12",

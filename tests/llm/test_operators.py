@@ -403,3 +403,23 @@ def test_private_data(spark):
     for r in out.values():
         assert set(map(tuple, r["base_spans"])) <= set(map(tuple, r["all_spans"]))
     assert crf_private.searched(frame(spark, [])).count() == 0
+
+
+def test_private_table_has_no_values_of_the_given_documents(spark):
+    rows = [re.sub(r"\[\w+ ([^\]]+)\]", r"\1", r) for r in crf_private.LABELLED]
+    values = {w for r in rows for w in re.findall(r"[0-9a-f]{15,}", r)} | {w for r in crf_private.LABELLED for w in re.findall(r"\[\w+ ([^\]]+)\]", r)}
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    assert len(values) > 20 and not [v for v in sorted(values) if docs.where(F.col("text").contains(v)).take(1)]
+
+
+def test_private_field_on_values_outside_its_table(spark):
+    """Made-up plain runs and tokens stay outside; phones and mail addresses are found."""
+    rng = np.random.default_rng(11)
+    runs = ["".join(map(str, rng.integers(0, 10, 16))) for _ in range(60)]
+    tokens = [hashlib.sha1(f"token {k}".encode()).hexdigest() for k in range(60)]
+    texts = [f"numbers {r} here" for r in runs if not crf_private.luhn(r)] + [f'token = "{t}" here' for t in tokens]
+    outside = len(texts)
+    texts += [f"phone: (555) 01{k}-77{k}8 , ask" for k in range(10)] + [f"write to some.one{k}@mail{k}.example.net please" for k in range(10)]
+    out = {r["doc_id"]: r["all_spans"] for r in crf_private.searched(frame(spark, list(enumerate(texts)))).collect()}
+    assert not [texts[i] for i in range(outside) if out[i]]
+    assert not [texts[i] for i in range(outside, len(texts)) if [s["kind"] for s in out[i]] != ["phone" if i < outside + 10 else "email"]]
