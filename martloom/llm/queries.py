@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import contamination, crf_language, crf_private, curriculum, differencing, host_rules, licences, part_enum, pu_quality, warc
+from martloom.llm import contamination, crf_language, crf_private, curriculum, differencing, host_rules, licences, part_enum, pu_quality, resampling, warc
 from martloom.llm.frames import table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -81,6 +81,10 @@ def op10_differencing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), columns=["doc_id"])
+
+
 QUERIES = {
     "op1_pu_quality": op1_pu_quality,
     "op2_curriculum_mix": op2_curriculum_mix,
@@ -92,6 +96,7 @@ QUERIES = {
     "op8_crf_private": op8_crf_private,
     "op9_part_enum_join": op9_part_enum_join,
     "op10_differencing_shards": op10_differencing_shards,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 # The repeated words of a text: positions covered by a 5-word window found twice or more.
@@ -163,6 +168,34 @@ MIX_SQL = rf"""
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
                FROM sized d JOIN aimed a ON d.source IS NOT DISTINCT FROM a.source)"""
 
+# Word runs, the CRC-32 of each different one bit by bit, and gains of their buckets.
+RESAMPLING_SQL = r"""
+    said AS (SELECT 0 AS k, doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+             UNION ALL
+             SELECT 1, item_id, row_number() OVER (), regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+    runs AS (SELECT k, r, f, count(*) AS n
+             FROM (SELECT k, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda p: w[p] || ' ' || w[p + 1]))) AS f FROM said) GROUP BY k, r, f),
+    spelt AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM runs)),
+    bits AS (SELECT f, list_transform(range(0, 4 * len(x)), lambda i:
+                    (CAST('0x' || substr(x, 1 + 2 * CAST(i // 8 AS BIGINT), 2) AS BIGINT) >> CAST(i % 8 AS BIGINT)) & 1) AS b FROM spelt),
+    summed AS (SELECT f, xor(list_reduce(list_concat([4294967295::BIGINT], b),
+                      lambda c, z: xor(c >> 1, 3988292384 * (xor(c, z) & 1))), 4294967295::BIGINT) % 10000 AS bucket FROM bits),
+    held AS (SELECT bucket, coalesce(sum(n) FILTER (k = 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (k = 1), 0)::DOUBLE AS t
+             FROM runs JOIN summed USING (f) GROUP BY bucket),
+    whole AS (SELECT sum(s) AS s, sum(t) AS t FROM held),
+    gain AS (SELECT bucket, CAST(floor(1000 * ln((h.t + 1) * (w.s + 10000) / ((h.s + 1) * (w.t + 10000)))) AS BIGINT) AS g FROM held h, whole w),
+    weighed AS (SELECT r, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n * g) AS BIGINT) AS g FROM runs JOIN summed USING (f) JOIN gain USING (bucket)
+                WHERE k = 0 GROUP BY r),
+    scored AS (SELECT doc_id, len(w) AS words, coalesce(n, 0) AS n_features,
+                      CASE WHEN n IS NULL THEN 0 ELSE (g - ((g % n) + n) % n) // n END AS weight,
+                      CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS h
+               FROM said LEFT JOIN weighed USING (r) WHERE k = 0),
+    noisy AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) AS place,
+                      count(*) OVER (PARTITION BY words >= 20) AS enough FROM noisy)"""
+
 ORACLE = {
     "op2_curriculum_mix": f"""WITH {MIX_SQL}
         SELECT doc_id, size, s AS source_size, target,
@@ -181,4 +214,6 @@ ORACLE = {
         array_to_string(licenses, ',') AS licenses, n_other FROM scanned""",
     "op6_host_rules": f"WITH {MEASURED_SQL}, {KEPT_SQL} SELECT doc_id, {_COUNTS}, kept FROM graded",
     "op9_part_enum_join": f"WITH RECURSIVE {shingle_sql('documents')} SELECT doc_id, n_shingles, component_id FROM joined",
+    "op13_importance_resampling": f"""WITH {RESAMPLING_SQL} SELECT doc_id, n_features, CAST(weight AS BIGINT) AS weight,
+        CAST(score AS BIGINT) AS score, CASE WHEN words >= 20 AND place <= 25 * enough // 100 THEN place END AS rank FROM placed""",
 }
