@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import contamination, crf_language, crf_private, curriculum, differencing, host_rules, licences, part_enum, pu_quality, resampling, simhash, warc
+from martloom.llm import alignment, contamination, crf_language, crf_private, curriculum, differencing, host_rules, licences, part_enum, pu_quality, resampling, simhash, warc
 from martloom.llm.frames import table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -87,6 +87,10 @@ def op11_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.token_alignment(table(spark, sf_dir, "documents"), columns=["doc_id"])
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), columns=["doc_id"])
 
@@ -103,6 +107,7 @@ QUERIES = {
     "op9_part_enum_join": op9_part_enum_join,
     "op10_differencing_shards": op10_differencing_shards,
     "op11_simhash_pigeonhole": op11_simhash_pigeonhole,
+    "op12_token_alignment": op12_token_alignment,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
