@@ -1,9 +1,11 @@
 """Per-column quality rules evaluated in one pass.
 
 A rule set becomes an ordered list of :class:`Check` objects. ``outcomes`` walks the
-list once and turns each input row into the rows it causes: one per failed check
-(the row as that check saw it, plus the reason) and one if it stays. Survivors,
-rejects and audit counts are then readings of one frame, instead of one scan per rule.
+list once and keeps one row per input row: the columns after all rewrites, a bit per
+failed check, and the older value of a column only where a check rewrites it.
+Survivors, rejects and audit counts are readings of that frame, instead of one scan per
+rule; only failing rows are unfolded, one reject per failed check with the row as that
+check saw it.
 
 A check that is not told to reject still reports: the row appears among the
 rejects *and* stays among the survivors.
@@ -13,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,11 +23,13 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import TEXT_FORMAT, as_col, date_part_text, parse_date_exact, reformat_date
 from martloom.functions.text import guarded_cast, is_blank, lead_minus, round_half_up_text, strip_chars
+from martloom.session import stage
 
 ALIVE = "_alive"
-CLEAN = "_clean"
-FIRST = "_first"
+FAILED = "_failed"
 REASON = "Rejection_Reason"
+RAGGED = "_ragged"  # set by the reader where a record has too few or too many fields
+MAX_CHECKS = 63  # bits of one long
 
 # The reasons written to the reject stream.
 LENGTH_REASON = "Some Columns of :'{rules}' exceeds max length"
@@ -34,6 +38,7 @@ DATE_REASON = "Date fields: {rules} not in proper format"
 INTEGER_REASON = "Integer fields not in proper format for column: {rules}"
 HARMONISE_REASON = "Date harmonization failed for column : {rules}"
 NOT_NULL_REASON = "Null values found in columns: {rules}"
+WIDTH_REASON = "Wrong number of fields"
 # Texts that count as an absent date.
 ABSENT_DATES = ("", "0", "00000000")
 
@@ -224,6 +229,11 @@ def not_null_check(columns: Sequence[str], reject: bool = False) -> Check:
     return Check(_reason(NOT_NULL_REASON, columns), _all(as_col(c).isNotNull() for c in columns), reject)
 
 
+def width_check() -> Check:
+    """Records with too few or too many fields fail, whatever their other columns say."""
+    return Check(WIDTH_REASON, ~F.col(RAGGED), True, helpers=(RAGGED,))
+
+
 def rule_checks(
     rules: RuleSet, columns: Sequence[str], reject: Mapping[str, bool] | None = None, length_offset: int = 0
 ) -> list[Check]:
@@ -251,46 +261,90 @@ def rule_checks(
 # --- evaluation -------------------------------------------------------------------
 
 
-def outcomes(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Everything the checks say about ``df``, as rows of one plan.
+@dataclass(frozen=True)
+class Outcomes:
+    """What the checks say: ``rows`` has one row per input row.
 
-    One row per failed check (the row as that check saw it, with the reason) and one
-    per row that stays (after all rewrites, reason NULL). ``_first`` is true on
-    exactly one outcome of each input row, so rows can be counted as well.
+    ``seen`` names, per check, the column that holds each value as the check saw it.
     """
-    columns = df.columns
-    out = df.withColumns({ALIVE: F.lit(True), CLEAN: F.lit(True)})
-    slots = []
 
-    def seen(reason: Column) -> Column:
-        return F.struct(F.col(CLEAN).alias(FIRST), *[as_col(c) for c in columns], reason.alias(REASON))
+    rows: DataFrame
+    columns: tuple[str, ...]
+    reasons: tuple[str, ...]
+    seen: tuple[Mapping[str, str], ...]
+
+    def staged(self, label: str) -> Outcomes:
+        """The same outcomes, evaluated once and read back."""
+        return replace(self, rows=stage(self.rows, label))
 
+
+def outcomes(df: DataFrame, checks: Sequence[Check]) -> Outcomes:
+    """Evaluate the checks in order; a row that an earlier check rejected is not tested further."""
+    if len(checks) > MAX_CHECKS:
+        raise ValueError(f"at most {MAX_CHECKS} checks")
+    columns = [c for c in df.columns if c != RAGGED]
+    out = df.withColumns({ALIVE: F.lit(True), FAILED: F.lit(0).cast("bigint")})
+    older: dict[str, list[tuple[int, str]]] = {}  # column -> (check that rewrote it, column with the value before)
     for i, check in enumerate(checks):
         if check.attach is not None:
             out = check.attach(out)
-        slot, passed = f"_fail{i}", f"_ok{i}"
-        slots.append(F.col(slot))
+        passed = f"_ok{i}"
         out = out.withColumn(passed, F.coalesce(check.ok, F.lit(False)))
-        out = out.withColumn(slot, F.when(F.col(ALIVE) & ~F.col(passed), seen(F.lit(check.reason))))
+        failed = F.when(F.col(ALIVE) & ~F.col(passed), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        added = {FAILED: F.col(FAILED).bitwiseOR(failed)}
+        for k, name in enumerate(check.rewrite):
+            older.setdefault(name, []).append((i, f"_was{i}_{k}"))
+            added[f"_was{i}_{k}"] = as_col(name)
+        out = out.withColumns(added)
         if check.rewrite:
             out = out.withColumns(dict(check.rewrite))
-        out = out.withColumn(CLEAN, F.col(CLEAN) & F.col(passed))
         if check.reject:
             stays = F.col(passed) if check.keep is None else F.coalesce(check.keep, F.lit(False))
             out = out.withColumn(ALIVE, F.col(ALIVE) & stays)
         out = out.drop(passed, *check.helpers)
-    kept = F.when(F.col(ALIVE), seen(F.lit(None).cast("string")))
-    # exploding keeps later filters above the chain, so no rule is evaluated twice
-    spread = out.select(F.explode(F.array(*slots, kept)).alias("_r"))
-    return spread.where("_r IS NOT NULL").select("_r.*")
+    seen = tuple(
+        {c: next((was for at, was in older.get(c, ()) if at >= i), c) for c in columns} for i in range(len(checks))
+    )
+    return Outcomes(out, tuple(columns), tuple(c.reason for c in checks), seen)
+
 
+def survivors(found: Outcomes) -> DataFrame:
+    return found.rows.where(ALIVE).select(*[as_col(c) for c in found.columns])
 
-def survivors(found: DataFrame) -> DataFrame:
-    return found.where(as_col(REASON).isNull()).drop(FIRST, REASON)
 
+def _unfold(found: Outcomes, kept: bool) -> DataFrame:
+    def row(seen: Mapping[str, str], reason: Column) -> Column:
+        return F.struct(*[as_col(seen.get(c, c)).alias(c) for c in found.columns], reason.alias(REASON))
 
-def rejects(found: DataFrame) -> DataFrame:
-    return found.where(as_col(REASON).isNotNull()).drop(FIRST)
+    failed = F.col(FAILED)
+    slots = [
+        F.when(failed.bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, row(seen, F.lit(reason)))
+        for i, (reason, seen) in enumerate(zip(found.reasons, found.seen, strict=True))
+    ]
+    if kept:
+        slots.append(F.when(F.col(ALIVE), row({}, F.lit(None).cast("string"))))
+    if not slots:
+        return found.rows.select(*[as_col(c) for c in found.columns], F.lit(None).cast("string").alias(REASON)).where("false")
+    # exploding a plain array keeps later filters above the chain, so no rule is evaluated twice
+    return found.rows.select(F.explode(F.array(*slots)).alias("_r")).where("_r IS NOT NULL").select("_r.*")
+
+
+def rejects(found: Outcomes) -> DataFrame:
+    """One row per failed check, as that check saw it, with the reason."""
+    return _unfold(found, kept=False)
+
+
+def all_outcomes(found: Outcomes) -> DataFrame:
+    """Rejects and survivors in one frame; survivors have no reason."""
+    return _unfold(found, kept=True)
+
+
+def count_outcomes(found: Outcomes, by: str) -> DataFrame:
+    """Rows in, rejects and rows out per value of ``by``, in one aggregate."""
+    return found.rows.groupBy(as_col(by)).agg(
+        F.count("*").alias("rows_in"), F.sum(F.bit_count(FAILED)).cast("bigint").alias("rows_rejected"),
+        F.count_if(F.col(ALIVE)).alias("rows_out"),
+    )
 
 
 def apply_checks(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, DataFrame]:

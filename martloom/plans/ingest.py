@@ -16,12 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.dates import TEXT_FORMAT
-from martloom.operators.integrity import STAMP, duplicate_check, merge_registry, parse_reference, reference_check
+from martloom.operators.integrity import STAMP, duplicate_check, parse_reference, reference_check
+from martloom.operators.registry import update_keys
 from martloom.operators.rules import (
-    FIRST,
-    REASON,
     Check,
+    Outcomes,
     column_name,
+    count_outcomes,
     derive_columns,
     harmonise_check,
     not_null_check,
@@ -30,8 +31,10 @@ from martloom.operators.rules import (
     rejects,
     rule_checks,
     survivors,
+    width_check,
 )
 from martloom.session import stage
+from martloom.sinks.snapshots import commit
 from martloom.sinks.writers import append_run, write_table
 from martloom.sources.landing import (
     FILE,
@@ -85,6 +88,10 @@ class IngestConfig:
     stamp: bool = True
     strict_header: bool = False
     fmt: str = "parquet"
+    versioned: bool = False
+    check_width: bool = False
+    stored_keys: bool = False
+    key_days: int = 0
 
     @classmethod
     def from_map(cls, settings: Mapping[str, str], dataset: str, base_path: str = "") -> IngestConfig:
@@ -144,15 +151,22 @@ class IngestConfig:
             stamp=not mapping,
             strict_header=true("strictHeader"),
             fmt=text("format", "parquet"),
+            versioned=true("versioned"),
+            check_width=true("checkWidth"),
+            stored_keys=true("storedKeys"),
+            key_days=int(text("keyDays", "0")),
         )
 
 
-def build_checks(spark: SparkSession, config: IngestConfig) -> list[Check]:
-    """The checks in their fixed order; later ones see what earlier ones left."""
+def build_checks(spark: SparkSession, config: IngestConfig, duplicates: Check | None = None) -> list[Check]:
+    """The checks in their fixed order; later ones see what earlier ones left.
+
+    ``duplicates`` takes the place of the check for keys repeated in the rows themselves.
+    """
     reject = config.reject
-    checks: list[Check] = []
+    checks: list[Check] = [width_check()] if config.check_width else []
     if config.duplicate_keys:
-        checks.append(duplicate_check(config.duplicate_keys, reject.get("duplicate", False)))
+        checks.append(duplicates or duplicate_check(config.duplicate_keys, reject.get("duplicate", False)))
     if config.not_null:
         checks.append(not_null_check(config.not_null, reject.get("not_null", False)))
     checks += rule_checks(parse_rules(config.rules), config.columns, reject, config.length_offset)
@@ -165,13 +179,9 @@ def build_checks(spark: SparkSession, config: IngestConfig) -> list[Check]:
     return checks
 
 
-def audit_counts(found: DataFrame) -> DataFrame:
+def audit_counts(found: Outcomes) -> DataFrame:
     """Rows in, reject rows and rows out per file, in one aggregate over the outcomes."""
-    return found.groupBy(FILE).agg(
-        F.count_if(F.col(FIRST)).alias("InputRowCount"),
-        F.count(REASON).alias("RejectedRowCount"),
-        F.count_if(F.col(REASON).isNull()).alias("OutputRowCount"),
-    )
+    return count_outcomes(found, FILE).toDF(FILE, "InputRowCount", "RejectedRowCount", "OutputRowCount")
 
 
 def audit_rows(
@@ -198,25 +208,19 @@ def audit_rows(
     )
 
 
-def update_registry(spark: SparkSession, rows: DataFrame, keys: Sequence[str], path: str) -> None:
-    """Fold the batch into the registry at ``path``.
-
-    The merged table is staged before the old one is replaced, and merging is
-    idempotent, so a batch can be run again after a failure.
-    """
-    stored = spark.read.parquet(path) if _exists(spark, path) else None
-    merged = stage(merge_registry(stored, rows, keys), "registry")
-    merged.write.mode("overwrite").parquet(path)
+def write_lake(spark: SparkSession, config: IngestConfig, rows: DataFrame, partitions: Sequence[str], mode: str) -> None:
+    """Write good rows; a versioned lake shows all of a run's partitions at once or none."""
+    if config.versioned:
+        how = "append" if mode == "append" else "replace" if partitions else "overwrite"
+        commit(spark, config.lake_path, rows, partitions, how)
+    else:
+        write_table(rows, config.lake_path, partitions, mode, config.fmt, config.single_file)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    files = spark.read.format("binaryFile").option("ignoreMissingFiles", True)
-    try:
-        return not files.load(f"{path.rstrip('/')}/*.parquet").select("path").isEmpty()
-    except Exception as error:  # an absent path is the only expected failure
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
+def by_header(files: Sequence[LandingFile], config: IngestConfig) -> tuple[list[LandingFile], list[LandingFile]]:
+    """(files whose first line fits the configured columns, refused files)."""
+    fits = [header_matches(f.columns, config.columns, config.strict_header and config.header) for f in files]
+    return [f for f, ok in zip(files, fits, strict=True) if ok], [f for f, ok in zip(files, fits, strict=True) if not ok]
 
 
 def ingest(spark: SparkSession, config: IngestConfig, run_date: str, start: int | None = None) -> DataFrame:
@@ -229,24 +233,21 @@ def ingest(spark: SparkSession, config: IngestConfig, run_date: str, start: int
     folder = config.landing_path + (f"/{config.date_folder}" if config.date_folder else "")
     paths = list_files(spark, folder, config.file_prefix)
     files = probe_headers(spark, paths[:1] if config.first_file_only else paths, config.delimiter, folder)
-    good: list[LandingFile] = []
-    refused: list[LandingFile] = []
-    for file in files:
-        fits = header_matches(file.columns, config.columns, config.strict_header and config.header)
-        (good if fits else refused).append(file)
+    good, refused = by_header(files, config)
     audits = []
     if refused:
         audits.append(audit_rows(spark, config, refused, None, start))
     checks = build_checks(spark, config)
     for mode, run in write_runs(good, config.mode):
         landing = read_landing(
-            spark, [f.path for f in run], config.columns, config.header, config.delimiter, str(start) if config.stamp else None
+            spark, [f.path for f in run], config.columns, config.header, config.delimiter, str(start) if config.stamp else None,
+            config.check_width,
         )
-        found = stage(outcomes(landing, checks), f"outcomes-{config.dataset}")
+        found = outcomes(landing, checks).staged(f"outcomes-{config.dataset}")
         rows, partitions = derive_columns(survivors(found).drop(FILE), config.derive)
         if config.registry_keys and config.registry_path:
-            update_registry(spark, rows, config.registry_keys, f"{config.registry_path}/{config.dataset}")
-        write_table(rows, config.lake_path, partitions, mode, config.fmt, config.single_file)
+            update_keys(spark, f"{config.registry_path}/{config.dataset}", rows, config.registry_keys)
+        write_lake(spark, config, rows, partitions, mode)
         append_run(rejects(found), f"{config.error_path}/records", run_date)
         audits.append(audit_rows(spark, config, run, audit_counts(found), start))
     if not audits:
@@ -256,4 +257,4 @@ def ingest(spark: SparkSession, config: IngestConfig, run_date: str, start: int
     return audit
 
 
-__all__ = ["IngestConfig", "STAMP", "audit_counts", "audit_rows", "build_checks", "ingest", "update_registry"]
+__all__ = ["IngestConfig", "STAMP", "audit_counts", "audit_rows", "build_checks", "by_header", "ingest", "write_lake"]

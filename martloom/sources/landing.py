@@ -12,13 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.operators.rules import RAGGED
+
 # What file names say about their content.
 RESTATEMENT_MARK = r"_RESTATEMENT(?=[_./]|$)"
 FILE_DATE = r"_(\d{8})[^_/]*$"
 PART_SUFFIX = r"[_-]p(?:art)?[_-]?\d+(?=\.|$)"
 
 FILE = "_file"
+RAW = "_raw"
 PROBE_THREADS = 16
+HEADER_BYTES = 1 << 16
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -71,7 +75,8 @@ class LandingFile:
         """File date and name of the delivery, equal for the parts of one delivery.
 
         The files of a marked folder are one delivery. Elsewhere parts share their name
-        up to ``_p<number>`` or ``_part<number>``, or the name up to the mark and a date.
+        up to ``_p<number>`` or ``_part<number>``, or restating files the name up to the mark
+        and the date, if there is one.
         """
         steps = self.label.split("/")
         for k, step in enumerate(steps[:-1]):
@@ -80,8 +85,8 @@ class LandingFile:
                 return date[1] if date else "", "/".join(steps[: k + 1])
         date = re.search(FILE_DATE, self.label)
         mark = re.search(RESTATEMENT_MARK, self.label, re.IGNORECASE)
-        if date and mark:
-            return date[1], self.label[: mark.end()]
+        if mark:
+            return date[1] if date else "", self.label[: mark.end()]
         return date[1] if date else "", re.sub(PART_SUFFIX, "", self.label, count=1, flags=re.IGNORECASE)
 
 
@@ -126,12 +131,13 @@ def probe_headers(
 ) -> list[LandingFile]:
     """The fields of each file's first line that is not blank, read through the file system.
 
-    No Spark job is started, whatever the number of files; only first lines reach the driver.
+    No Spark job is started, whatever the number of files; at most ``HEADER_BYTES`` of a
+    file reach the driver, and a first line longer than that is refused.
     """
-    java = spark._jvm.java.io
     hadoop = spark._jvm.org.apache.hadoop
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     codecs = hadoop.io.compress.CompressionCodecFactory(conf)
+    io = spark._jvm.org.apache.commons.io
 
     def probe(path: str) -> LandingFile:
         file = hadoop.fs.Path(path)
@@ -139,13 +145,13 @@ def probe_headers(
         try:
             codec = codecs.getCodec(file)
             plain = stream if codec is None else codec.createInputStream(stream)
-            reader = java.BufferedReader(java.InputStreamReader(plain, "UTF-8"))
-            line = reader.readLine()
-            while line is not None and not line.strip():
-                line = reader.readLine()
+            head = io.IOUtils.toString(io.input.BoundedInputStream(plain, HEADER_BYTES), "UTF-8")
         finally:
             stream.close()
-        fields = next(csv.reader([line.lstrip("\ufeff")], delimiter=delimiter)) if line else []
+        lines = [line for line in re.split(r"\r\n|\n|\r", head) if line.strip()]
+        if len(head) >= HEADER_BYTES // 4 and len(lines) < 2 and len(head.encode()) >= HEADER_BYTES:
+            raise ValueError(f"no end of the first line within {HEADER_BYTES} bytes: {path}")
+        fields = next(csv.reader([lines[0].lstrip("\ufeff")], delimiter=delimiter)) if lines else []
         return LandingFile(path, tuple(fields), folder)
 
     with ThreadPoolExecutor(PROBE_THREADS) as pool:
@@ -159,6 +165,17 @@ def header_matches(found: Sequence[str], expected: Sequence[str], strict: bool =
     return clean == wanted if strict else len(clean) == len(wanted)
 
 
+def landing_rows(reader, path: str | Sequence[str], columns: Sequence[str], check_width: bool = False) -> DataFrame:
+    """Text columns by position and ``_file`` from a batch or stream reader."""
+    schema = text_schema(columns)
+    if not check_width:
+        return reader.schema(schema).csv(path).select("*", file_path().alias(FILE))
+    # the reader fills this column only where the number of fields differs
+    reader = reader.option("columnNameOfCorruptRecord", RAW)
+    rows = reader.schema(T.StructType([*schema.fields, T.StructField(RAW, T.StringType())])).csv(path)
+    return rows.select(*[F.col(f"`{c}`") for c in columns], F.col(RAW).isNotNull().alias(RAGGED), file_path().alias(FILE))
+
+
 def read_landing(
     spark: SparkSession,
     paths: Sequence[str],
@@ -166,10 +183,15 @@ def read_landing(
     header: bool = True,
     delimiter: str = ",",
     stamp: str | None = None,
+    check_width: bool = False,
 ) -> DataFrame:
-    """All files in one scan, text columns by position, with the file path as ``_file``."""
-    df = read_delimited(spark, [literal_path(p) for p in paths], columns, header, delimiter)
-    df = df.select("*", file_path().alias(FILE))
+    """All files in one scan, text columns by position, with the file path as ``_file``.
+
+    Missing fields are NULL and surplus ones are dropped; with ``check_width`` such records
+    are marked in ``_ragged``.
+    """
+    reader = spark.read.option("header", header).option("sep", delimiter)
+    df = landing_rows(reader, [literal_path(p) for p in paths], columns, check_width)
     return df if stamp is None else df.withColumn("PROCESS_TIMESTAMP", F.lit(stamp))
 
 
@@ -177,13 +199,18 @@ def write_runs(files: Sequence[LandingFile], mode: str) -> list[tuple[str, list[
     """Files that are written together: (mode, files), by file date and name.
 
     A restating delivery overwrites in one run over all its files, so its parts do not
-    replace each other; later deliveries replace earlier ones. With mode ``overwrite``
+    replace each other; later deliveries replace earlier ones. A restatement without a
+    date comes after all files it can restate, dated or not. With mode ``overwrite``
     all other files are one delivery as well, written first.
     """
     runs: list[tuple[str, list[LandingFile]]] = []
     last: tuple[str, str] | None = None
     first = mode == "overwrite"
-    for file in sorted(files, key=lambda f: (f.restates if first else False, f.delivery, f.label)):
+
+    def late(file: LandingFile) -> bool:
+        return file.restates and (first or not file.delivery[0])
+
+    for file in sorted(files, key=lambda f: (late(f), f.delivery, f.label)):
         key = file.delivery if file.restates else None
         if runs and key == last:
             runs[-1][1].append(file)

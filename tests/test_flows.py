@@ -5,8 +5,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from martloom.operators.registry import read_keys
 from martloom.plans.ingest import IngestConfig, ingest
 from martloom.plans.pipeline import run_pipeline, run_queries
+from martloom.sinks.snapshots import read_snapshot, snapshot
 from martloom.sinks.writers import replace_partitions, with_date_partitions, write_table
 from martloom.sources.config import config_pairs, load_config, load_steps
 from martloom.sources.landing import (
@@ -19,7 +21,7 @@ from martloom.sources.landing import (
     read_delimited,
     write_runs,
 )
-from martloom.streaming.landing import read_landing_stream, run_batches, write_batch
+from martloom.streaming.landing import keys_path, read_landing_stream, run_batches, write_batch
 
 
 def put(folder, name, *lines):
@@ -57,9 +59,10 @@ def test_ingest_audit_rejects_and_layout(spark, tmp_path, rows):
     assert (tmp_path / "lake" / "YYYY=2018" / "MM=05").is_dir()
     errors = spark.read.parquet(str(tmp_path / "errors" / "records"))
     assert sorted(r.id for r in errors.collect()) == ["2", "x"]
-    assert rows(spark.read.parquet(str(tmp_path / "registry" / "Orders"))) == [("-7", "123"), ("1", "123")]
+    stored = lambda: rows(read_keys(spark, str(tmp_path / "registry" / "Orders"), ["id"]))
+    assert stored() == [("-7", "123"), ("1", "123")]
     ingest(spark, config(tmp_path, mappingPrimaryKey="id", mappingFilePath="/registry"), "20240102", 456)
-    assert rows(spark.read.parquet(str(tmp_path / "registry" / "Orders"))) == [("-7", "456"), ("1", "456")]
+    assert stored() == [("-7", "456"), ("1", "456")]
 
 
 def test_restatement_replaces_only_its_partitions(spark, tmp_path, rows):
@@ -139,8 +142,55 @@ def test_headers_and_runs():
     files = [LandingFile(f"/l/{n}.csv", ()) for n in ("a", "b", "c_restatement_1", "d_RESTATEMENT_2", "e")]
     runs = [(mode, [f.name for f in run]) for mode, run in write_runs(files, "append")]
     assert runs == [
-        ("append", ["a.csv", "b.csv"]), ("overwrite", ["c_restatement_1.csv"]), ("overwrite", ["d_RESTATEMENT_2.csv"]),
-        ("append", ["e.csv"])]
+        ("append", ["a.csv", "b.csv", "e.csv"]), ("overwrite", ["c_restatement_1.csv"]), ("overwrite", ["d_RESTATEMENT_2.csv"])]
+    files = [LandingFile(f"/l/{n}.csv", ()) for n in ("o_RESTATEMENT", "o_20240101", "o_RESTATEMENT_20240102", "o_20240103", "o_RESTATEMENT_2")]
+    runs = [(mode, [f.name for f in run]) for mode, run in write_runs(files, "append")]
+    assert runs == [
+        ("append", ["o_20240101.csv"]), ("overwrite", ["o_RESTATEMENT_20240102.csv"]), ("append", ["o_20240103.csv"]),
+        ("overwrite", ["o_RESTATEMENT.csv", "o_RESTATEMENT_2.csv"])]
+
+
+def test_an_undated_restatement_comes_after_dated_files(spark, tmp_path, rows):
+    put(tmp_path / "landing", "orders_20240101.csv", HEADER, "1,5,20180512", "2,5,20190512")
+    put(tmp_path / "landing", "orders_RESTATEMENT.csv", HEADER, "10,9,20180531")
+    ingest(spark, config(tmp_path, SplitDateColumn="YYYY#order date#yyyyMMdd#yyyy"), "20240101")
+    assert rows(spark.read.parquet(str(tmp_path / "lake")), "id") == [("10",), ("2",)]
+
+
+def test_numbered_restatements_of_one_name_are_one_delivery(spark, tmp_path, rows):
+    put(tmp_path / "landing", "orders_1.csv", HEADER, "1,5,20180512")
+    put(tmp_path / "landing", "orders_RESTATEMENT_1.csv", HEADER, "2,5,20180512")
+    put(tmp_path / "landing", "orders_RESTATEMENT_2.csv", HEADER, "3,5,20180513")
+    ingest(spark, config(tmp_path), "20240101")
+    assert rows(spark.read.parquet(str(tmp_path / "lake")), "id") == [("2",), ("3",)]
+
+
+def test_a_versioned_lake_shows_a_restatement_at_once(spark, tmp_path, rows):
+    settings = config(tmp_path, versioned="true")
+    put(tmp_path / "landing", "orders_1.csv", HEADER, "1,5,20180512", "2,5,20190512", "3,5,20200101")
+    put(tmp_path / "landing", "orders_2_RESTATEMENT.csv", HEADER, "8,9,20180531", "9,9,20190501")
+    ingest(spark, settings, "20240101")
+    lake = str(tmp_path / "lake")
+    assert rows(read_snapshot(spark, lake), "id") == [("3",), ("8",), ("9",)]
+    assert rows(read_snapshot(spark, lake, 1), "id") == [("1",), ("2",), ("3",)]
+
+
+def test_ragged_records_are_rejected_when_asked(spark, tmp_path, rows):
+    put(tmp_path / "landing", "orders_1.csv", HEADER, "1,5,20180512", "2,5", "3,5,20180512,more", '4,"5",20180512')
+    audit = ingest(spark, config(tmp_path, checkWidth="true"), "20240101")
+    assert rows(audit, "InputRowCount", "RejectedRowCount", "OutputRowCount") == [(4, 2, 2)]
+    assert rows(spark.read.parquet(str(tmp_path / "lake")), "id") == [("1",), ("4",)]
+    errors = spark.read.parquet(str(tmp_path / "errors" / "records"))
+    assert rows(errors, "id", "Rejection_Reason") == [("2", "Wrong number of fields"), ("3", "Wrong number of fields")]
+    assert "_ragged" not in errors.columns
+    ingest(spark, config(tmp_path, UDLpath="/plain", ErrorPath="/none"), "20240101")
+    assert spark.read.parquet(str(tmp_path / "plain")).count() == 4
+
+
+def test_a_first_line_without_an_end_is_refused(spark, tmp_path):
+    put(tmp_path / "landing", "orders_1.csv", "x" * 100_000)
+    with pytest.raises(ValueError, match="first line"):
+        ingest(spark, config(tmp_path), "20240101")
 
 
 def test_file_order(spark):
@@ -187,6 +237,38 @@ def test_config_and_pipeline(spark, tmp_path, rows):
     assert rows(tables["y"]) == [("b",)]
 
 
+def test_stream_refuses_wrong_headers_and_writes_whole_audit_rows(spark, tmp_path, rows):
+    settings = config(tmp_path, mappingPrimaryKey="id", mappingFilePath="/registry")
+    put(tmp_path / "landing", "orders 1.csv", HEADER, "1,5,20180512", "x,5,20180512")
+    put(tmp_path / "landing", "orders_2.csv", "id,amount", "2,5")
+    stream = read_landing_stream(spark, str(tmp_path / "landing"), settings)
+    run_batches(stream, settings, str(tmp_path / "progress")).awaitTermination()
+    audit = spark.read.parquet(str(tmp_path / "errors" / "audit"))
+    found = rows(audit.withColumn("f", F.element_at(F.split("InputFile", "/"), -1)), "f", "Status", "Reason", "InputRowCount", "RejectedRowCount", "OutputRowCount")
+    assert found == [("orders 1.csv", "PROCESSED", "NA", 2, 1, 1), ("orders_2.csv", "REJECTED", "HEADER MISMATCH", 0, 0, 0)]
+    assert audit.where("StartTime > 0 AND EndTime >= StartTime AND DataSet = 'Orders'").count() == 2
+    assert rows(read_keys(spark, str(tmp_path / "registry" / "Orders"), ["id"]), "id") == [("1",)]
+
+
+def test_stream_rejects_keys_of_earlier_batches(spark, tmp_path, rows):
+    settings = config(tmp_path, duplicateRow="id", checkDuplicates="true", rejectDuplicateData="true", storedKeys="true", keyDays="2")
+    schema = "id string, amount string, order_date string, _file string"
+    batch = lambda *ids: spark.createDataFrame([(i, "1", "20180512", "f") for i in ids], schema)
+    day = 86_400_000
+    good = lambda: rows(spark.read.parquet(str(tmp_path / "lake")), "id", "batch_id")
+    write_batch(batch("1", "2", "2", None), 0, settings, start=10 * day)
+    assert good() == [("1", 0), (None, 0)]
+    write_batch(batch("1", "2", "3", None), 1, settings, start=10 * day + 5)
+    assert good() == [("1", 0), ("3", 1), (None, 0)]
+    before = snapshot(spark, keys_path(settings))
+    write_batch(batch("1", "2", "3", None), 1, settings, start=10 * day + 9)  # runs again
+    assert good() == [("1", 0), ("3", 1), (None, 0)] and snapshot(spark, keys_path(settings)) == before
+    write_batch(batch("1", "4"), 2, settings, start=13 * day)  # the key is out of date
+    assert good() == [("1", 0), ("1", 2), ("3", 1), ("4", 2), (None, 0)]
+    rejected = spark.read.parquet(str(tmp_path / "errors" / "records"))
+    assert rows(rejected, "id", "batch_id") == [("1", 1), ("2", 0), ("2", 0), ("2", 1), (None, 1)]
+
+
 def test_stream_and_replayed_batch(spark, tmp_path, rows):
     settings = config(tmp_path)
     put(tmp_path / "landing", "orders_1.csv", HEADER, "1,5,20180512", "x,5,20180512")

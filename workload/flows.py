@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.operators.registry import read_keys
 from martloom.operators.rollup import period_rollup
 from martloom.plans.ingest import IngestConfig, ingest
 from martloom.plans.pipeline import run_pipeline, run_queries
@@ -88,7 +89,7 @@ def ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, _ = _ingested(spark, sf_dir)
-    return spark.read.parquet(f"{root}/registry/Orders").withColumnRenamed("PROCESS_TIMESTAMP", "stamp")
+    return read_keys(spark, f"{root}/registry/Orders", ["status"]).withColumnRenamed("PROCESS_TIMESTAMP", "stamp")
 
 
 _INGEST_SQL = f"""d AS (SELECT {', '.join(render(_LANDING, DUCK))}, o_orderkey, o_orderdate FROM orders WHERE o_orderstatus <> 'P'),

@@ -21,6 +21,8 @@ from martloom.operators.integrity import (
 from martloom.operators.rules import (
     REASON,
     Check,
+    Outcomes,
+    all_outcomes,
     apply_checks,
     date_check,
     decimal_check,
@@ -45,7 +47,7 @@ from workload.common import table
 
 def checked(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Survivors and rejects in one frame."""
-    found = outcomes(df, checks)
+    found = all_outcomes(outcomes(df, checks))
     label = F.when(F.col(REASON).isNull(), "KEPT").otherwise("REJECTED")
     return found.select(label.alias("outcome"), *df.columns, F.coalesce(REASON, F.lit("")).alias("reason"))
 
@@ -365,7 +367,7 @@ KEY_REGISTRY_SQL = """SELECT user_id, event_type, max(strftime(ts, '%Y%m%d%H%M%S
 CHAIN_RULES = "flag-VARCHAR(1)|amount-DECIMAL(7,2)|day#DATE(yyyyMMdd,true)|pieces-INT"
 
 
-def _chain(spark: SparkSession, sf_dir: str, reject: bool) -> DataFrame:
+def _chain(spark: SparkSession, sf_dir: str, reject: bool) -> Outcomes:
     dirty = """CASE WHEN l_orderkey % 10 = 0 THEN 'bad' WHEN l_orderkey % 10 = 1 THEN '0'
         ELSE date_format(l_shipdate, 'yyyyMMdd') END"""
     lines = table(spark, sf_dir, "lineitem").selectExpr(
