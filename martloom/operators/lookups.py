@@ -19,6 +19,8 @@ def lookup(
     residual: Column | None = None,
     how: str = "left",
     unique: bool = False,
+    salts: int = 0,
+    heavy: Sequence[str] = (),
 ) -> DataFrame:
     """Join ``dim`` attributes onto ``fact`` by (computed) keys.
 
@@ -28,6 +30,11 @@ def lookup(
     key), so repeated dimension rows do not multiply facts; two different values for
     one key still both match. Broadcast or shuffle is Spark's size-checked choice.
     Computed keys become real columns first, which keeps the join an equi-join.
+
+    With ``salts`` a shuffled join does not gather the facts of one key in one task: facts
+    with a NULL in their key, which match nothing, and facts whose first key is in ``heavy``
+    (default members and the like) are dealt over so many salts, and the dimension rows of
+    ``heavy`` are repeated once per salt.
     """
     on = {c: c for c in on} if not isinstance(on, Mapping) else dict(on)
     take = {c: c for c in take} if not isinstance(take, Mapping) else dict(take)
@@ -38,10 +45,21 @@ def lookup(
         side = side.distinct()
     keyed = fact.select("*", *[as_col(f).alias(f"_f{i}") for i, f in enumerate(on.values())])
     condition = reduce(lambda a, b: a & b, (F.col(f"_f{i}") == F.col(f"_d{i}") for i in range(len(on))))
+    if salts > 1:
+        spread = reduce(lambda a, b: a | b, (F.col(f"_f{i}").isNull() for i in range(len(on))))
+        every = F.array(F.lit(0))
+        if heavy:
+            spread = spread | F.col("_f0").isin(*heavy)
+            every = F.when(F.col("_d0").isin(*heavy), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(every)
+        # by content, so that a repeated task deals its rows the same way
+        salt = F.pmod(F.xxhash64(*[as_col(c) for c in fact.columns]), F.lit(salts)).cast("int")
+        keyed = keyed.withColumn("_fs", F.when(spread, salt).otherwise(0))
+        side = side.withColumn("_ds", F.explode(every))
+        condition = condition & (F.col("_fs") == F.col("_ds"))
     if residual is not None:
         condition = condition & residual
     joined = keyed.join(side, condition, how)
-    return joined.drop(*[f"_f{i}" for i in range(len(on))], *[f"_d{i}" for i in range(len(on))])
+    return joined.drop(*[f"_f{i}" for i in range(len(on))], *[f"_d{i}" for i in range(len(on))], "_fs", "_ds")
 
 
 def flag_member(fact: DataFrame, members: DataFrame, column: str, member: str, name: str) -> DataFrame:

@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from martloom.functions.dates import as_col
 from martloom.session import broadcast_if_small, stage
 
-# Rows of equal members are unfolded in arrays of this length.
-COPY_CHUNK = 10_000
+ROW = "_row"
 
 
 def unique_members(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,37 +43,47 @@ def first_member(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
+def _primary_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], rest: Sequence[str]) -> DataFrame:
+    """The row number (``_row``) of the primary row of each key.
+
+    The least order value of a key is found over narrow columns, with one candidate per
+    key and map task sent on. The rows that share it, as a rule one per key, are then
+    told apart by the remaining columns.
+    """
+    key_cols = [as_col(k) for k in keys]
+    columns = dict.fromkeys([*keys, *order])
+    narrow = rows.select(*[as_col(c) for c in columns], ROW)
+    first = first_member(narrow, keys, [*order, ROW])
+    if not rest:
+        return first.select(ROW)
+    lead = first.select(*[as_col(c).alias(f"_o{i}") for i, c in enumerate(columns)])
+    lead = broadcast_if_small(stage(lead, "primary-lead"))
+    on = reduce(lambda a, b: a & b, (rows[f"`{c}`"].eqNullSafe(lead[f"_o{i}"]) for i, c in enumerate(columns)))
+    tied = stage(rows.join(lead, on, "left_semi"), "primary-tied")
+    window = Window.partitionBy(*key_cols).orderBy(*[as_col(c) for c in rest], ROW)
+    return tied.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").select(ROW)
+
+
 def flag_primary(
     df: DataFrame, flags: Mapping[str, tuple[Sequence[str], Sequence[str]]]
 ) -> DataFrame:
     """Add ``'1'/'0'`` columns that mark one primary row per key.
 
     ``flags`` maps a new column to (key columns, order columns). Ties are broken by
-    the remaining columns. The leading row of each key comes from an aggregate, is
-    measured and joined back, so a key with a third of all rows stays spread out.
-    Exact copies are folded to one row with a count first and unfolded afterwards:
-    only one of them can be primary.
+    the remaining columns, exact copies by the number a row gets when the members are
+    written, so exactly one is primary. Keys compare null-safely. A key with a third of
+    all rows stays spread out: each task sends on one candidate for it, and the primary
+    rows' numbers are measured and joined back.
     """
     columns = df.columns
-    folded = stage(df.groupBy(*[as_col(c) for c in columns]).agg(F.count("*").alias("_copies")), "flag-members")
-    out = folded
+    rows = stage(df.withColumn(ROW, F.monotonically_increasing_id()), "flag-members")
+    out = rows
     for name, (keys, order) in flags.items():
-        rank = F.struct(*[as_col(c) for c in dict.fromkeys([*order, *columns])])
-        lead = folded.groupBy(*[as_col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(rank).alias("_lead"))
-        lead = broadcast_if_small(lead)
-        on = reduce(
-            lambda a, b: a & b, (out[f"`{k}`"].eqNullSafe(lead[f"_k{i}"]) for i, k in enumerate(keys))
-        )
-        joined = out.join(lead, on, "left")
-        out = joined.withColumn(name, rank.eqNullSafe(F.col("_lead"))).drop("_lead", *[f"_k{i}" for i in range(len(keys))])
-    chunks = F.sequence(F.lit(0), ((F.col("_copies") - 1) / COPY_CHUNK).cast("int"))
-    unfolded = out.withColumn("_chunk", F.explode(chunks))
-    size = F.least(F.lit(COPY_CHUNK), F.col("_copies") - F.col("_chunk") * COPY_CHUNK)
-    unfolded = unfolded.withColumn("_at", F.explode(F.sequence(F.lit(1), size.cast("int"))))
-    first_copy = (F.col("_chunk") == 0) & (F.col("_at") == 1)
-    return unfolded.select(
-        *[as_col(c) for c in columns],
-        *[F.when(F.col(name) & first_copy, "1").otherwise("0").alias(name) for name in flags],
+        rest = [c for c in columns if c not in (*keys, *order)]
+        primary = stage(_primary_rows(rows, keys, order, rest).withColumnRenamed(ROW, f"_at_{name}"), "primary-rows")
+        out = out.join(broadcast_if_small(primary), F.col(ROW) == F.col(f"_at_{name}"), "left")
+    return out.select(
+        *[as_col(c) for c in columns], *[F.when(F.col(f"_at_{n}").isNotNull(), "1").otherwise("0").alias(n) for n in flags]
     )
 
 

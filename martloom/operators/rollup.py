@@ -12,6 +12,9 @@ Plan shape
    inside the task: rows already sit with their key, so the 31-fold (last 30
    days) and 13-fold (moving annual) fan-outs never cross the network.
 
+A single plain grain (one start per day) needs neither windows nor a second shuffle:
+each fact takes its start from the calendar and is summed once.
+
 Every fact counts once per window start. Facts outside the calendar or outside
 every window stay in a bucket whose ``time_key`` is NULL.
 """
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.dates import KEY_FORMAT, as_col, parse_date
+from martloom.session import stage
 
 
 @dataclass(frozen=True)
@@ -169,6 +173,10 @@ def period_rollup(
     cast = {m: as_col(m).try_cast(t) for m, t in measures.items()}
     out: DataFrame | None = None
 
+    if specs and DAYS in wanted:
+        # both halves read the fact: it is evaluated once, cut to what they need
+        needed = dict.fromkeys([*keys, *(day_keys or keys), date_col, *measures])
+        fact = stage(fact.select(*[as_col(c) for c in needed]), "rollup-fact")
     if specs:
         out = _summed_grains(fact, calendar, keys, cast, date_col, date_format, specs)
     if DAYS in wanted:
@@ -210,6 +218,15 @@ def _summed_grains(
     def to_month(df: DataFrame) -> DataFrame:
         return df.join(day_month, "_unit", "left").drop("_unit").withColumnRenamed("_month", "_unit")
 
+    starts = {(g.start, g.end) for g in specs}
+    if len(starts) == 1 and specs[0].end is None:
+        by_day = hint(calendar.select(F.col("date").alias("_unit"), F.col(specs[0].start).alias("_start")).distinct())
+        summed = facts.join(by_day, "_unit", "left").groupBy(*key_cols, "_start").agg(*sums)
+        summed = _label(summed.withColumn("_slot", F.lit(0)), list(starts), specs)
+        return summed.select(
+            *key_cols, "timeperiod_type", F.date_format("_start", KEY_FORMAT).alias("time_key"), *[as_col(m) for m in names]
+        )
+
     if not daily:
         totals = to_month(facts)
     else:

@@ -28,6 +28,8 @@ from martloom.operators.lookups import flag_member, keep_members, lookup, not_in
 from martloom.operators.members import first_member
 
 AMOUNT = "decimal(19,6)"
+# Unknown customers, products and days come as NULL keys, many of them in one place.
+SALTS = 64
 GRAMS_PER_KG = 1000
 
 
@@ -37,7 +39,7 @@ def amount(column: Column | str) -> Column:
 
 def _time_key(fact: DataFrame, calendar: DataFrame, column: str) -> DataFrame:
     """The calendar key equal to ``column``; NULL for days outside the calendar."""
-    return lookup(fact, calendar, {"time_key": column}, {"time_key": "time_key"}, unique=True)
+    return lookup(fact, calendar, {"time_key": column}, {"time_key": "time_key"}, unique=True, salts=SALTS)
 
 
 def _month_key(fact: DataFrame, calendar: DataFrame, month: Column) -> DataFrame:
@@ -107,10 +109,10 @@ def build_order_fact(
     known = products.select(product_key("product_key").alias("product_key"))
     out = orders.where(wanted.condition())
     out = _time_key(out, calendar, "request_date")
-    out = lookup(out, customers, {"customer_key": "customer"}, {"customer_key": "_customer"})
+    out = lookup(out, customers, {"customer_key": "customer"}, {"customer_key": "_customer"}, salts=SALTS)
     out = lookup(out, currencies, {"currency_name": "currency"}, ["currency_key"])
-    out = lookup(out, by_country, ["customer"], ["country_key"])
-    out = lookup(out, known, {"product_key": product_key("material")}, {"product_key": "product_key"})
+    out = lookup(out, by_country, ["customer"], ["country_key"], salts=SALTS)
+    out = lookup(out, known, {"product_key": product_key("material")}, {"product_key": "product_key"}, salts=SALTS)
     return out.select(
         F.col("document").alias("sales_document"),
         F.col("quantity").alias("order_quantity"),
@@ -592,6 +594,7 @@ def build_volumetric_fact(
     default_cluster: str,
     default_variant: str,
     period: str = "Month",
+    heavy_brands: Sequence[str] = (),
 ) -> DataFrame:
     """Market readings of one period type with default members where no mapping exists.
 
@@ -601,7 +604,7 @@ def build_volumetric_fact(
     """
     out = readings.where(F.col("period") == period)
     out = lookup(out, clusters, ["market"], {"cluster": "_cluster"})
-    out = lookup(out, variants, ["brand", "category", "manufacturer"], {"variant": "_variant"})
+    out = lookup(out, variants, ["brand", "category", "manufacturer"], {"variant": "_variant"}, salts=SALTS, heavy=heavy_brands)
     cluster = F.coalesce(F.trim("_cluster"), F.lit(default_cluster))
     variant = F.coalesce(F.trim("_variant"), F.lit(default_variant))
     return out.select(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.dates import TEXT_FORMAT
 from martloom.operators.integrity import STAMP, duplicate_check, parse_reference, reference_check
-from martloom.operators.registry import update_keys
+from martloom.operators.registry import BUCKETS, update_keys
 from martloom.operators.rules import (
     Check,
     Outcomes,
@@ -92,6 +92,7 @@ class IngestConfig:
     check_width: bool = False
     stored_keys: bool = False
     key_days: int = 0
+    key_buckets: int = BUCKETS
 
     @classmethod
     def from_map(cls, settings: Mapping[str, str], dataset: str, base_path: str = "") -> IngestConfig:
@@ -155,6 +156,7 @@ class IngestConfig:
             check_width=true("checkWidth"),
             stored_keys=true("storedKeys"),
             key_days=int(text("keyDays", "0")),
+            key_buckets=int(text("keyBuckets", str(BUCKETS))),
         )
 
 
@@ -246,7 +248,7 @@ def ingest(spark: SparkSession, config: IngestConfig, run_date: str, start: int
         found = outcomes(landing, checks).staged(f"outcomes-{config.dataset}")
         rows, partitions = derive_columns(survivors(found).drop(FILE), config.derive)
         if config.registry_keys and config.registry_path:
-            update_keys(spark, f"{config.registry_path}/{config.dataset}", rows, config.registry_keys)
+            update_keys(spark, f"{config.registry_path}/{config.dataset}", rows, config.registry_keys, buckets=config.key_buckets)
         write_lake(spark, config, rows, partitions, mode)
         append_run(rejects(found), f"{config.error_path}/records", run_date)
         audits.append(audit_rows(spark, config, run, audit_counts(found), start))

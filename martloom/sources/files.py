@@ -82,6 +82,15 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
         raise
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file; the folder of the new name is made if need be."""
+    old, system = _at(spark, source)
+    new, _ = _at(spark, target)
+    system.mkdirs(new.getParent())
+    if not system.rename(old, new):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     where, system = _at(spark, path)
     system.delete(where, True)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.operators.members import first_member
 from martloom.operators.rules import RAGGED
 
 # What file names say about their content.
@@ -126,6 +127,15 @@ def file_date(file: Column) -> Column:
     return F.regexp_extract(file, FILE_DATE, 1)
 
 
+def latest_by_file_date(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of each key from the file with the latest date in its name (column ``_file``).
+
+    One row per key: of rows of the same file the first by the other columns.
+    """
+    order = [file_date(F.col(FILE)).desc(), *[F.col(f"`{c}`") for c in df.columns if c not in (*keys, FILE)]]
+    return first_member(df, keys, order).drop(FILE)
+
+
 def probe_headers(
     spark: SparkSession, paths: Sequence[str], delimiter: str = ",", folder: str = ""
 ) -> list[LandingFile]:

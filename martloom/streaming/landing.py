@@ -50,7 +50,7 @@ def stored_duplicate_check(config: IngestConfig, batch_id: int, expire_before: s
     names = [column_name(k) for k in config.duplicate_keys]
 
     def attach(df: DataFrame) -> DataFrame:
-        marked = mark_stored(df, keys_path(config), names, "_stored", batch=batch_id, expire_before=expire_before)
+        marked = mark_stored(df, keys_path(config), names, "_stored", STAMP, config.key_buckets, batch_id, expire_before)
         return mark_repeated(marked, names)
 
     return Check(
@@ -93,10 +93,10 @@ def write_batch(rows: DataFrame, batch_id: int, config: IngestConfig, start: int
         if df is not None:
             write_table(df.withColumn(BATCH, number), path, [BATCH, *parts], "overwrite", config.fmt)
     if config.registry_keys and config.registry_path:
-        update_keys(spark, f"{config.registry_path}/{config.dataset}", good, config.registry_keys, batch=batch_id)
+        update_keys(spark, f"{config.registry_path}/{config.dataset}", good, config.registry_keys, buckets=config.key_buckets, batch=batch_id)
     if stored:
         seen = rows.withColumn(STAMP, F.lit(str(start)))
-        update_keys(spark, keys_path(config), seen, config.duplicate_keys, batch=batch_id, expire_before=expire_before)
+        update_keys(spark, keys_path(config), seen, config.duplicate_keys, STAMP, config.key_buckets, batch_id, expire_before)
 
 
 def run_batches(stream: DataFrame, config: IngestConfig, progress_path: str, once: bool = True) -> StreamingQuery:
