@@ -7,8 +7,10 @@ token ends are compared in stretches that double while they agree and halve afte
 so a one-to-one stretch is jumped in few comparisons; the irregular group behind it is
 resolved by advancing the shorter side, and the shift is updated.
 
-A text is cut before it is encoded, at blanks between ASCII letters, where neither
-tokenizer has a token across; so memory follows ``PIECE`` and not the longest text.
+A text is cut before it is encoded, at single blanks between visible ASCII characters,
+where neither tokenizer has a token across and both have a token's end; so no group
+reaches over a cut, and encoding and alignment are done once for each different piece
+that a worker remembers. Memory follows ``REMEMBERED`` and the longest text.
 Each row keeps its different id pairs. Their counts over all rows are one aggregate with
 map-side combine. The counts are then looked up twice: those of the commonest pairs, at
 most ``HOT`` of them, in every task's memory, the others by a join on the pair.
@@ -37,11 +39,12 @@ from martloom.llm.frames import clear, ship, stage
 FOLDER = "/opt/tokenizers"
 NAMES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 MADE = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
-PIECE = 1 << 15
 CHUNK = 1 << 18
+REMEMBERED = 1 << 19  # pieces
+LONGEST = 1 << 24  # characters of remembered pieces
 WIDE = 1024  # links from which a group's different ids are counted before they are paired
 HOT = 1 << 20
-CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+CUT = re.compile("(?<=[!-~]) (?=[!-~])")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -72,8 +75,8 @@ class Pair:
         ]
         self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
-        # no token may reach over a blank that follows a letter
-        self.cuts = not any(re.search("[A-Za-z] ", x.decode("latin-1")) for x in [*self.bytes_a, *self.bytes_b])
+        # pieces are only right if no token has a blank behind a visible character
+        self.cuts = not any(re.search(b"[!-~] ", x) for x in [*self.bytes_a, *self.bytes_b])
         most = max(len(self.bytes_a), len(self.bytes_b))
         wide = len(str(most))
         self.digits = np.zeros((most, wide + 1), np.uint8)  # the last column is for a separator
@@ -81,34 +84,93 @@ class Pair:
             text = str(k).encode()
             self.digits[k, : len(text)] = list(text)
 
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.length = 0
+        self.whole = np.zeros(0, bool)  # do both tokenizers give the piece back
+        self.a, self.b, self.in_a, self.in_b = (Lists() for _ in range(4))
+
     def pieces(self, text: str) -> list[str]:
         """The text cut at blanks that both tokenizers begin a token with; the blanks go."""
-        out, low = [], 0
-        while self.cuts and len(text) - low > 2 * PIECE:
-            found = CUT.search(text, low + PIECE)
-            if not found:
-                break
-            out.append(text[low : found.start()])
-            low = found.end()
-        return [*out, text[low:]]
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of each text by both tokenizers, none where the bytes do not come back."""
-        a, b = [], []
-        parts = [self.pieces(t) for t in texts]
-        flat = [p for some in parts for p in some]
-        first = [e.ids for e in self.first.encode_batch_fast([" " + p for p in flat], add_special_tokens=False)]
-        second = self.second.encode(flat, num_threads=1)
-        at = 0
-        for text, some in zip(texts, parts, strict=True):
-            x = [k for ids in first[at : at + len(some)] for k in ids]
-            y = [k for ids in second[at : at + len(some)] for k in ids]
-            at += len(some)
+        return (CUT.split(text) if self.cuts else [text]) if text else []
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids by both tokenizers, None where the bytes do not come back."""
+        first = [e.ids for e in self.first.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        second = self.second.encode(texts, num_threads=1)
+        out: list[tuple[np.ndarray, np.ndarray] | None] = []
+        for text, x, y in zip(texts, first, second, strict=True):
             raw = b" " + text.encode()
-            whole = bool(text) and b"".join(map(self.bytes_a.__getitem__, x)) == raw == b"".join(map(self.bytes_b.__getitem__, y))
-            a.append(np.array(x if whole else [], np.int64))
-            b.append(np.array(y if whole else [], np.int64))
-        return a, b
+            same = b"".join(map(self.bytes_a.__getitem__, x)) == raw == b"".join(map(self.bytes_b.__getitem__, y))
+            out.append((np.array(x, np.int64), np.array(y, np.int64)) if same else None)
+        return out
+
+    def learn(self, pieces: list[str]) -> None:
+        """Encode and align pieces that are not known yet.
+
+        Those that begin and end with a visible character are encoded as one text, with
+        blanks between them that neither tokenizer reaches over.
+        """
+        plain = [p for p in pieces if self.cuts and "!" <= p[0] <= "~" and "!" <= p[-1] <= "~"]
+        joined = self.encode([" ".join(plain)])[0] if len(plain) > 1 else None
+        if joined is None:
+            plain = []
+        taken = set(plain)
+        single = [p for p in pieces if p not in taken]
+        found = self.encode(single)
+        sizes = []
+        for k, size in enumerate((self.size_a, self.size_b)):
+            own = [0 if f is None else len(f[k]) for f in found]
+            if plain:
+                ends = np.cumsum([len(p.encode()) + 1 for p in plain])
+                own = [*np.diff(np.searchsorted(np.cumsum(size[joined[k]]), ends, "right"), prepend=0), *own]
+            sizes.append(np.array(own, np.int64))
+        a, b = (np.concatenate([np.zeros(0, np.int64), *([joined[k]] if plain else []), *(f[k] for f in found if f is not None)]) for k in (0, 1))
+        upto_a, upto_b = groups(np.cumsum(self.size_a[a]).tolist(), np.cumsum(self.size_b[b]).tolist())
+        many = np.diff(np.searchsorted(upto_a, np.cumsum(sizes[0]), "right"), prepend=0)
+        self.a.add(a, sizes[0])
+        self.b.add(b, sizes[1])
+        self.in_a.add(np.diff(upto_a, prepend=0), many)
+        self.in_b.add(np.diff(upto_b, prepend=0), many)
+        self.whole = np.concatenate([self.whole, np.ones(len(plain), bool), np.array([f is not None for f in found], bool)])
+        for piece in (*plain, *single):
+            self.known[piece] = len(self.known)
+            self.length += len(piece)
+
+    def looked_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pieces of all texts, one after the other, and how many each text has;
+        none for texts that one tokenizer does not give back."""
+        if len(self.known) > REMEMBERED or self.length > LONGEST:
+            self.forget()
+        parts = [self.pieces(t) for t in texts]
+        new = list(dict.fromkeys(p for some in parts for p in some if p not in self.known))
+        if new:
+            self.learn(new)
+        number = self.known.__getitem__
+        found = np.fromiter((number(p) for some in parts for p in some), np.int64)
+        many = np.array([len(some) for some in parts], np.int64)
+        row = np.repeat(np.arange(len(texts)), many)
+        broken = np.bincount(row, ~self.whole[found], len(texts)) > 0
+        return found[~broken[row]], np.where(broken, 0, many)
+
+
+class Lists:
+    """Lists of numbers in one array, with those of any selection in its order."""
+
+    def __init__(self) -> None:
+        self.flat, self.at = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def add(self, flat: np.ndarray, size: np.ndarray) -> None:
+        self.flat = np.concatenate([self.flat, flat.astype(np.int64)])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(size)])
+
+    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the lists ``which`` and the lists' lengths."""
+        size = self.at[which + 1] - self.at[which]
+        own = np.repeat(self.at[which] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return self.flat[own], size
 
 
 _pairs: dict[tuple[str, tuple[str, str]], Pair] = {}
@@ -163,18 +225,15 @@ class Aligned:
 
     def __init__(self, pair: Pair, texts: list[str]):
         self.pair = pair
-        self.a, self.b = pair.encode(texts)
-        own_a, own_b, self.n_groups = [], [], np.zeros(len(texts), np.int64)
-        for k, (x, y) in enumerate(zip(self.a, self.b, strict=True)):
-            upto_a, upto_b = groups(np.cumsum(pair.size_a[x]).tolist(), np.cumsum(pair.size_b[y]).tolist())
-            self.n_groups[k] = len(upto_a)
-            own_a.append(np.diff(upto_a, prepend=0))
-            own_b.append(np.diff(upto_b, prepend=0))
-        self.in_a, self.in_b = (np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in (own_a, own_b))
-        self.row = np.repeat(np.arange(len(texts)), self.n_groups)
-        self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (self.a, self.b))
-        self.ids_a, self.ids_b = (np.concatenate([np.zeros(0, np.int64), *side]) for side in (self.a, self.b))
-        self.n_links = np.bincount(self.row, self.in_a * self.in_b, len(texts)).astype(np.int64)
+        which, many = pair.looked_up(texts)
+        text, n = np.repeat(np.arange(len(texts)), many), len(texts)
+        self.ids_a, size_a = pair.a.take(which)
+        self.ids_b, size_b = pair.b.take(which)
+        self.in_a, groups_ = pair.in_a.take(which)
+        self.in_b, _ = pair.in_b.take(which)
+        self.row = np.repeat(text, groups_)
+        self.n_a, self.n_b, self.n_groups = (np.bincount(text, x, n).astype(np.int64) for x in (size_a, size_b, groups_))
+        self.n_links = np.bincount(self.row, self.in_a * self.in_b, n).astype(np.int64)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, id pair and number of links of the different pairs of each row, in order."""

@@ -87,14 +87,17 @@ def test_groups_of_texts(texts):
 
 
 def test_pieces_encode_like_the_whole(monkeypatch):
-    monkeypatch.setattr(alignment, "PIECE", 7)
     rng = random.Random(5)
     pair = alignment.loaded()
-    words = ["the", "a", "Über", "naïve", "42", "it's", "日本", "x\n", "end.", "", "ZZ", "I"]
-    for _ in range(200):
+    words = ["the", "a", "Über", "naïve", "42", "it's", "日本", "x\n", "end.", "", "ZZ", "I", "(see", "'s", "--", "\u00a0", "a\u0301", "\u0301b", "<s>", "\t", "3,400", "#"]
+    for _ in range(400):
         text = " ".join(rng.choice(words) for _ in range(rng.randint(1, 60)))
-        assert [x.tolist() for (x,) in pair.encode([text])] == [list(x) for x in ids(text)]
-    assert pair.cuts and len(pair.pieces("some words and more words and even more of them")) > 2
+        found = alignment.Aligned(pair, [text])
+        assert [found.ids_a.tolist(), found.ids_b.tolist()] == [list(x) for x in ids(text)]
+    assert pair.cuts and len(pair.pieces("some words, more words. and ever more of them")) == 9
+    monkeypatch.setattr(alignment, "REMEMBERED", 10)
+    pair.looked_up(["one two three"])
+    assert len(pair.known) == 3
 
 
 def test_large_groups_count_like_small_ones(monkeypatch):
