@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -240,79 +241,108 @@ FINANCE_MEASURES = (
 )
 
 
+# Conditions of a measure, as bits of one number.
+ALWAYS, REGULAR, CORE_BILLED, OTHER_COMPANY, PACK, PACK_DIRECT, SPECIAL, PACK_OTHER, OTHER_CLASS = range(9)
+
+# Measure -> (condition, condition of the first term, first term, second term): the sum of the terms where the
+# condition holds, else 0; the first term counts where its own condition holds.
+FINANCE_SUMS = {
+    "cigs_volume": (ALWAYS, ALWAYS, "volume_a", "volume_b"),
+    "gsv_dist": (ALWAYS, ALWAYS, "distribution", None),
+    "gsv_3p": (ALWAYS, ALWAYS, "third_party", None),
+    "gross_gsv": (ALWAYS, ALWAYS, "third_party", "turnover_adjustment"),
+    "vol_w_memo_wo_pogo": (ALWAYS, ALWAYS, "net_volume", None),
+    "gsv_w_memo_wo_pogo": (ALWAYS, ALWAYS, "with_memo", None),
+    "vol_wo_memo_wo_pogo": (REGULAR, ALWAYS, "net_volume", None),
+    "gsv_wo_memo_wo_pogo": (REGULAR, ALWAYS, "with_memo", None),
+    "vol_eaches_w_memo_wo_pogo": (ALWAYS, ALWAYS, "sales_quantity", None),
+    "vol_eaches_wo_memo_wo_pogo": (REGULAR, ALWAYS, "sales_quantity", None),
+    "pogo": (ALWAYS, ALWAYS, "pogo", None),
+    "cd_total_gsv": (CORE_BILLED, REGULAR, "with_memo", "pogo"),
+    "memo_cd_gsv": (CORE_BILLED, ALWAYS, "with_memo", "pogo"),
+    "noncd_total_gsv": (OTHER_COMPANY, ALWAYS, "with_memo", "pogo"),
+    "excluded_bp_cd_gsv": (PACK, REGULAR, "with_memo", "pogo"),
+    "fin_item_gsv": (PACK_DIRECT, REGULAR, "with_memo", "pogo"),
+    "st_oh": (SPECIAL, REGULAR, "with_memo", "pogo"),
+    "non_h_comp_code": (PACK_OTHER, REGULAR, "with_memo", "pogo"),
+    "inv_bill_type": (OTHER_CLASS, ALWAYS, "pogo", None),
+    "gsv_wo_memo_w_pogo": (ALWAYS, REGULAR, "with_memo", "pogo"),
+    "vol_wo_memo_w_pogo": (ALWAYS, REGULAR, "net_volume", "pogo"),
+    "vol_eaches_wo_memo_w_pogo": (ALWAYS, REGULAR, "sales_quantity", "pogo"),
+}
+AMOUNTS = "_amounts"
+TERM = "decimal(24,6)"
+
+
+def _amount_names(rules: FinanceRules) -> list[str]:
+    return list(dict.fromkeys((*FINANCE_AMOUNTS, *rules.pogo_sources.values())))
+
+
+def pack_amounts(df: DataFrame, rules: FinanceRules) -> DataFrame:
+    """The amounts as one array column, each text cast once.
+
+    Wide rows in single columns make one generated method of all later operators that is
+    too large to compile; an array passes through them as one value.
+    """
+    casts = [amount(c) for c in _amount_names(rules)] + [guarded_cast("cost_element", AMOUNT)]
+    return df.withColumn(AMOUNTS, F.array(*casts))
+
+
 def add_finance_measures(df: DataFrame, rules: FinanceRules) -> DataFrame:
-    """Append the derived measures, layer by layer so that each text is cast once.
+    """Append the derived measures.
 
     Inputs: the finance amounts as text, billing_type, cost_element, record_type,
     channel, basepack_class and the flags billing_included, company_excluded,
     pack_excluded. A billing type outside the memo list counts as regular and is
-    labelled ``Y``.
+    labelled ``Y``. The amounts may come packed (:func:`pack_amounts`).
     """
-    zero = F.lit(0).cast(AMOUNT)
+    columns = [c for c in df.columns if c != AMOUNTS]
+    out = df if AMOUNTS in df.columns else pack_amounts(df, rules)
+    place = {c: i for i, c in enumerate(_amount_names(rules))}
+    raw = lambda c: F.col(AMOUNTS)[place[c]]
+    zero = F.lit(0).cast(TERM)
     element = F.col("cost_element")
-    texts = dict.fromkeys((*FINANCE_AMOUNTS, *rules.pogo_sources.values()))
-    codes = {"_cost_element": guarded_cast("cost_element", AMOUNT)}
-    out = df.withColumns({f"_{c}": amount(c) for c in texts} | codes)
-
-    pogo = F.when(element.isNull(), zero)
+    pogo = F.when(element.isNull(), F.lit(0).cast(AMOUNT))
     for code, source in rules.pogo_sources.items():
-        pogo = pogo.when(element == code, F.col(f"_{source}"))
-    base = F.col("_gross") - F.col("_distribution") - F.col("_memo_discount")
-    out = out.withColumns(
-        {
-            "gsv_3p": base + F.col("_unit_adjustment"),
-            "gsv_w_memo_wo_pogo": base - F.col("_unit_adjustment") + F.col("_turnover_adjustment"),
-            "pogo": pogo.otherwise(F.col("_cost_element")),
-            "_regular": F.coalesce(~F.col("billing_type").isin(*rules.memo_billing_types), F.lit(False)),
-        }
-    )
-
-    def given(condition: Column, value: Column) -> Column:
-        return F.when(condition, value).otherwise(zero)
-
-    regular = F.col("_regular")
-    out = out.withColumns(
-        {
-            "cigs_volume": F.col("_volume_a") + F.col("_volume_b"),
-            "gsv_dist": F.col("_distribution"),
-            "gross_gsv": F.col("gsv_3p") + F.col("_turnover_adjustment"),
-            "vol_w_memo_wo_pogo": F.col("_net_volume"),
-            "vol_eaches_w_memo_wo_pogo": F.col("_sales_quantity"),
-            "gsv_wo_memo_wo_pogo": given(regular, F.col("gsv_w_memo_wo_pogo")),
-            "vol_wo_memo_wo_pogo": given(regular, F.col("_net_volume")),
-            "vol_eaches_wo_memo_wo_pogo": given(regular, F.col("_sales_quantity")),
-            "memo": F.when(regular, "Y").otherwise("N"),
-        }
-    )
-    out = out.withColumns(
-        {
-            "gsv_wo_memo_w_pogo": F.col("gsv_wo_memo_wo_pogo") + F.col("pogo"),
-            "vol_wo_memo_w_pogo": F.col("vol_wo_memo_wo_pogo") + F.col("pogo"),
-            "vol_eaches_wo_memo_w_pogo": F.col("vol_eaches_wo_memo_wo_pogo") + F.col("pogo"),
-            "_with_pogo": F.col("gsv_w_memo_wo_pogo") + F.col("pogo"),
-        }
-    )
-    without, with_memo = F.col("gsv_wo_memo_w_pogo"), F.col("_with_pogo")
-    core = F.col("basepack_class") == rules.core_class
-    other = F.col("basepack_class") == rules.other_class
+        pogo = pogo.when(element == code, raw(source))
+    base = raw("gross") - raw("distribution") - raw("memo_discount")
+    terms = {
+        "none": zero,
+        **{c: raw(c) for c in ("volume_a", "volume_b", "distribution", "turnover_adjustment", "net_volume", "sales_quantity")},
+        "third_party": base + raw("unit_adjustment"),
+        "with_memo": base - raw("unit_adjustment") + raw("turnover_adjustment"),
+        "pogo": pogo.otherwise(F.col(AMOUNTS)[len(place)]),
+    }
+    regular = F.coalesce(~F.col("billing_type").isin(*rules.memo_billing_types), F.lit(False))
+    core, other = F.col("basepack_class") == rules.core_class, F.col("basepack_class") == rules.other_class
     billed, pack_out, company_out = F.col("billing_included"), F.col("pack_excluded"), F.col("company_excluded")
-    not_barred = F.col("channel") != rules.barred_channel
-    direct = F.col("record_type").isin(*rules.direct_record_types)
-    out = out.withColumns(
-        {
-            "cd_total_gsv": given(core & billed, without),
-            "memo_cd_gsv": given(core & billed, with_memo),
-            "noncd_total_gsv": given(other & company_out, with_memo),
-            "excluded_bp_cd_gsv": given(pack_out, without),
-            "fin_item_gsv": given(pack_out & ~company_out & direct & not_barred, without),
-            "st_oh": given(~company_out & F.col("channel").isin(*rules.special_channels), without),
-            "non_h_comp_code": given(
-                pack_out & ~company_out & (F.col("record_type") == rules.other_record_type) & not_barred, without
-            ),
-            "inv_bill_type": given(other, F.col("pogo")),
-        }
+    open_pack = pack_out & ~company_out & (F.col("channel") != rules.barred_channel)
+    conditions = {
+        ALWAYS: F.lit(True), REGULAR: regular, CORE_BILLED: core & billed, OTHER_COMPANY: other & company_out, PACK: pack_out,
+        PACK_DIRECT: open_pack & F.col("record_type").isin(*rules.direct_record_types),
+        SPECIAL: ~company_out & F.col("channel").isin(*rules.special_channels),
+        PACK_OTHER: open_pack & (F.col("record_type") == rules.other_record_type), OTHER_CLASS: other,
+    }
+    bits = reduce(
+        lambda a, b: a.bitwiseOR(b), (F.when(c, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in conditions.items())
     )
-    return out.select(*[as_col(c) for c in df.columns], *FINANCE_MEASURES)
+    # one row of numbers per measure, so that the sums below are one small expression
+    at = {name: i for i, name in enumerate(terms)}
+    plan = F.array(*[
+        F.struct(F.lit(1 << c).alias("c"), F.lit(1 << own).alias("own"), F.lit(at[x]).alias("x"), F.lit(at[y or "none"]).alias("y"))
+        for c, own, x, y in FINANCE_SUMS.values()
+    ])
+    out = out.withColumns({"_terms": F.array(*[t.cast(TERM) for t in terms.values()]), "_bits": bits})
+    term, held = F.col("_terms"), F.col("_bits")
+
+    def measure(m: Column) -> Column:
+        first = F.when(held.bitwiseAND(m["own"]) != 0, term[m["x"]]).otherwise(zero)
+        return F.when(held.bitwiseAND(m["c"]) != 0, first + term[m["y"]]).otherwise(zero.cast("decimal(25,6)"))
+
+    out = out.withColumn("_measures", F.transform(plan, measure))
+    numbers = {name: F.col("_measures")[i] for i, name in enumerate(FINANCE_SUMS)}
+    memo = F.when(held.bitwiseAND(F.lit(1 << REGULAR)) != 0, "Y").otherwise("N")
+    return out.select(*[as_col(c) for c in columns], *[numbers.get(m, memo).alias(m) for m in FINANCE_MEASURES])
 
 
 def build_finance_fact(
@@ -333,7 +363,8 @@ def build_finance_fact(
     customer, country, currency and posting_date (key text). The three lists are
     one-column frames.
     """
-    out = actuals.withColumns({"product_key": product_key("material"), "customer_key": customer_key("customer")})
+    out = pack_amounts(actuals, rules).drop(*[c for c in _amount_names(rules) if c not in keep])
+    out = out.withColumns({"product_key": product_key("material"), "customer_key": customer_key("customer")})
     out = out.withColumn("dim_combination", combination_code("product_key", "customer_key")).drop("material", "customer")
     out = _time_key(out, calendar, "posting_date").drop("posting_date")
     out = lookup(out, products, ["product_key"], ["basepack_class"])
