@@ -4,8 +4,11 @@ Four kinds are matched by pattern and check: e-mail addresses, IPv4 addresses, p
 card numbers (Luhn) and international phone numbers. A field over word shapes, trained
 from a small labelled table, adds spans the patterns miss (numbers written without the
 plus sign, in brackets, with a label beside them …). A word without a digit or an at
-sign is outside by definition, so the Viterbi path falls into runs of the other words,
-decoded side by side in numpy batches; the words around a run are features of it.
+sign is outside by definition, unless it is a sign written apart between such words, lies
+beside a lone at sign, or is part of an address spelt with "at" and "dot"; so the Viterbi
+path falls into runs, decoded side by side in numpy batches (long ones in blocks of
+themselves); the words around a run are features of it. All scans take time in
+proportion to the text, whatever it holds.
 
 Pattern spans stay; a decoded span that overlaps one, or that has not the digits of its
 kind (a card must pass Luhn), is dropped. Offsets are code
@@ -27,13 +30,25 @@ from martloom.llm import arrays
 from martloom.llm.frames import clear, per_row
 
 KINDS = ("email", "ip", "card", "phone")
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+LONG = 512  # words of a run that is decoded in blocks
+# Characters of an e-mail's local part, and its domain. Possessive: a domain never gives back
+# characters, as what follows them must not be of their class.
+_LOCAL = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-"
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+# An address begins where a run of digits does; from inside the run the same would follow.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SPACE = frozenset(" \t\n\x0b\x0c\r")
 _TRIGGER = re.compile(r"[0-9@]")
+# Signs written apart between the words of a number, and an address with its signs in words.
+_SIGNS = re.compile(r"[ \t]+[-()+./ \t]{1,8}[ \t]+")
+_SPELT = re.compile(
+    r"(?<!\S)[A-Za-z0-9._%+-]++[ \t]+[(\[]?at[)\]]?[ \t]+[A-Za-z0-9-]++(?:[ \t]+[(\[]?dot[)\]]?[ \t]+[A-Za-z0-9-]++)+", re.IGNORECASE
+)
+_DOT = re.compile(r"dot", re.IGNORECASE)
+_ONE_SIGN = re.compile(r"[^@\s]+(?:[ \t]+@[ \t]+|@)[^@\s]+")
 
 # The labelled table: words, with marked spans as [kind words].
 LABELLED = (
@@ -78,9 +93,30 @@ LABELLED = (
     "1 2 3 4 5 6 7 8 9 10 11 12",
     "7 8 9 10 and 5 6 7 8 9",
     "version 10.0.19045 build 3803",
+    "write to [email anna at example dot org] today",
+    "mail [email j.smith (at) mail (dot) example (dot) com] or call",
+    "ask [email office at sub dot example dot net] first",
+    "reach [email info @ example.org] for more",
+    "send it to [email me @ mail.example.com] soon",
+    "ask [email paul @ place.example] for it",
+    "please mail [email x.y @ office-1.example.org] today",
+    "ask [email post at place dot com] about it",
+    "then mail [email team at place-2 dot net] or wait",
+    "call [phone 555 - 010 - 4477] now",
+    "phone: [phone ( 555 ) 010 7788] after six",
+    "tel [phone 030/901820] office",
+    "fax [phone 020 / 7946 - 0018] desk",
+    "he stood at point dot of the map",
+    "look at line dot seven of it",
+    "open from 10 - 12 and 14 - 18 daily",
+    "won 3 - 2 after 90 minutes",
+    "pages 12 - 34 - 56 of it",
+    "in 2019 / 2020 they sold 1200 / 1300 of them",
+    "3 + 4 - 5 is 2",
+    "@ home and @ work",
 )
 _LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
-_CUES = {"phone": 1, "tel": 1, "call": 1, "mobile": 1, "fax": 1, "reach": 1, "card": 2, "visa": 2, "ip": 3, "host": 3, "server": 3}
+_CUES = {"phone": 1, "tel": 1, "call": 1, "mobile": 1, "fax": 1, "reach": 1, "card": 2, "visa": 2, "ip": 3, "host": 3, "server": 3, "at": 4, "dot": 5, "@": 6, "mail": 7, "email": 7, "ask": 7, "contact": 7, "to": 7}
 FEATURES = 4096
 
 
@@ -95,15 +131,15 @@ def luhn(digits: str) -> bool:
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """The pattern spans of a text by kind, then start; failing matches are dropped."""
     out = []
-    at = text.find("@")
-    while at >= 0:  # a match lies within one word
-        low, high = at, at
-        while low and text[low - 1] not in _SPACE:
-            low -= 1
-        while high < len(text) and text[high] not in _SPACE:
-            high += 1
-        out += [("email", low + m.start(), low + m.end()) for m in _EMAIL.finditer(text[low:high])]
-        at = text.find("@", high)
+    at, free = text.find("@"), 0  # the leftmost match with this sign begins with the whole run before it
+    while at >= 0:
+        start = free + len(text[free:at].rstrip(_LOCAL))
+        domain = _DOMAIN.match(text, at + 1) if start < at else None
+        free = at + 1
+        if domain:
+            out.append(("email", start, domain.end()))
+            free = domain.end()
+        at = text.find("@", free)
     if _TRIGGER.search(text):
         out += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if all(_small(p) for p in m.group().split("."))]
         for m in _CARD.finditer(text):
@@ -132,10 +168,12 @@ def _number(name: str) -> int:
 
 
 def _word_features(word: str, before: str, after: str, cache: dict) -> np.ndarray:
-    cue = _CUES.get(before.strip(":.,()\"'").lower(), 0)
+    cue = _CUES.get(before.strip(":.,()[]\"'").lower(), 0)
+    said = word.strip("()[]").lower()
+    said = said if said in ("at", "dot", "@") else ""
     near = "n" if _TRIGGER.search(before) else "w" if before else "-"
     then = "n" if _TRIGGER.search(after) else "w" if after else "-"
-    key = (word if "@" in word else shape(word), cue, near, then)
+    key = (word if "@" in word else shape(word), cue, near, then, said)
     if key not in cache:
         form = shape(word)
         core = form.strip(".,;:!?\"'()*$%&#|")
@@ -143,7 +181,7 @@ def _word_features(word: str, before: str, after: str, cache: dict) -> np.ndarra
         names = [
             f"shape={form}", f"core={core}", f"digits={min(digits, 20)}", f"dots={min(word.count('.'), 5)}", f"dash={min(word.count('-'), 4)}",
             f"at={'@' in word.strip('@')}", f"letters={any(c.isalpha() for c in word)}", f"open={word[:1] in '([+'}", f"cue={cue}", f"near={near}",
-            f"then={then}", f"digits={min(digits, 20)}&cue={cue}", f"core={core}&near={near}&then={then}",
+            f"then={then}", f"digits={min(digits, 20)}&cue={cue}", f"core={core}&near={near}&then={then}", f"said={said}",
         ]
         if len(cache) > 100_000:
             cache.clear()
@@ -151,24 +189,58 @@ def _word_features(word: str, before: str, after: str, cache: dict) -> np.ndarra
     return cache[key]
 
 
+def _beside(text: str, low: int, high: int) -> tuple[int, int, str, str]:
+    before, after = _WORD.findall(text[max(0, low - 40) : low]), _WORD.findall(text[high : high + 40])
+    return low, high, before[-1] if before else "", after[0] if after else ""
+
+
 def _runs(text: str) -> list[list[tuple[int, int, str, str]]]:
-    """Runs of words with a digit or an at sign: start, end and the words beside each."""
-    out, last, high = [], -1, 0
+    """Runs of words the field decodes: start, end and the words beside each.
+
+    Words with a digit or an at sign, also with signs written apart between them; the
+    words around a lone at sign; addresses with their signs in words.
+    """
+    spelt = [m.span() for m in _SPELT.finditer(text)] if _DOT.search(text) else []
+    out = [[_beside(text, low + m.start(), low + m.end()) for m in _WORD.finditer(text[low:high])] for low, high in spelt]
+    own: list[tuple[int, int, str, str]] = []
+    last, high, k = -1, 0, 0
     for m in _TRIGGER.finditer(text):
         if m.start() < high:
             continue
+        while k < len(spelt) and spelt[k][1] <= m.start():
+            k += 1
+        if k < len(spelt) and spelt[k][0] <= m.start():
+            high = spelt[k][1]
+            continue
         low, high = m.start(), m.start()
         while low and text[low - 1] not in _SPACE:
             low -= 1
         while high < len(text) and text[high] not in _SPACE:
             high += 1
-        before = _WORD.findall(text[max(0, low - 40) : low])
-        after = _WORD.findall(text[high : high + 40])
-        word = (low, high, before[-1] if before else "", after[0] if after else "")
-        if last >= 0 and not text[last:low].strip(" \t"):
-            out[-1].append(word)
+        gap = text[last:low] if last >= 0 else ""
+        signs = [] if last < 0 or low - last > 12 or not _SIGNS.fullmatch(gap) else [w.span() for w in _WORD.finditer(gap)]
+        if last >= 0 and (signs or not gap.strip(" \t")):
+            own += [_beside(text, last + a, last + b) for a, b in signs]
         else:
-            out.append([word])
+            own = []
+            out.append(own)
+            ahead = _WORD.search(text[max(0, low - 3) : low].lstrip()) if low else None
+            if ahead and ahead.group() in ("(", "+", "(+") and text[low - 1] in " \t":  # a bracket written apart
+                start = text.rindex(ahead.group(), 0, low)
+                own.append(_beside(text, start, start + len(ahead.group())))
+            if text[low:high] == "@" and low and text[low - 1] in " \t":
+                start = len(text[:low].rstrip(" \t")) if low < 64 else low - 64 + len(text[low - 64 : low].rstrip(" \t"))
+                begin = start
+                while begin and start - begin < 64 and text[begin - 1] not in _SPACE:
+                    begin -= 1
+                if begin < start and begin >= last:
+                    own.append(_beside(text, begin, start))
+        own.append(_beside(text, low, high))
+        if text[low:high] == "@":
+            after = re.compile(r"[ \t]+([^\x20\x09-\x0D]{1,64})(?![^\x20\x09-\x0D])").match(text, high)
+            if after and not _TRIGGER.search(after[1]):
+                own.append(_beside(text, after.start(1), after.end(1)))
+                high = after.end(1)
         last = high
     return out
 
@@ -183,6 +255,50 @@ class Chain:
         return np.stack([self.emit[f].sum(axis=0) for f in run])
 
 
+def viterbi_long(logits: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """The best label path of one long run (words x labels), in blocks of about its root.
+
+    All blocks go on side by side, each from every label it may be entered with; then the
+    blocks are chained, and their paths are followed back side by side.
+    """
+    words, k = logits.shape
+    wide = int(np.ceil(np.sqrt(words)))
+    blocks = -(-words // wide)
+    padded = np.zeros((blocks * wide, k))
+    padded[:words] = logits
+    own = padded.reshape(blocks, wide, k)
+    real = np.arange(blocks * wide).reshape(blocks, wide) < words
+    best = np.full((blocks, k, k), -np.inf)  # block, label before it, label now
+    best[:, np.arange(k), np.arange(k)] = 0
+    back = np.zeros((wide, blocks, k, k), np.int16)
+    for t in range(wide):
+        total = best[:, :, :, None] + step[None, None]
+        came = total.argmax(axis=2)
+        new = np.take_along_axis(total, came[:, :, None, :], axis=2)[:, :, 0, :] + own[:, t][:, None, :]
+        here = real[:, t][:, None, None]
+        back[t] = np.where(here, came, np.arange(k)[None, None, :])
+        best = np.where(here, new, best)
+    enter = np.zeros((blocks, k), np.int64)  # best label before a block for each label at its end
+    score = np.full(k, -np.inf)
+    score[0] = 0  # the edge label
+    for b in range(blocks):
+        total = score[:, None] + best[b]
+        enter[b] = total.argmax(axis=0)
+        score = total.max(axis=0)
+    last = np.zeros(blocks, np.int64)
+    state = int((score + step[:, 0]).argmax())
+    before = np.zeros(blocks, np.int64)
+    for b in range(blocks - 1, -1, -1):
+        last[b] = state
+        state = before[b] = enter[b, state]
+    path = np.zeros((blocks, wide), np.int64)
+    at, state = np.arange(blocks), last
+    for t in range(wide - 1, -1, -1):
+        path[:, t] = state
+        state = back[t][at, before, state]
+    return path.ravel()[:words]
+
+
 def viterbi(logits: np.ndarray, size: np.ndarray, step: np.ndarray) -> np.ndarray:
     """Best label paths of padded runs (runs x words x labels); 0 is the edge label."""
     n, wide, k = logits.shape
@@ -277,7 +393,7 @@ def _plausible(kind: str, span: str) -> bool:
     """What a decoded span must have to be of its kind."""
     digits = re.sub("[^0-9]", "", span)
     if kind == "email":
-        return "@" in span.strip("@")
+        return _ONE_SIGN.fullmatch(span) is not None or _SPELT.fullmatch(span) is not None
     if kind == "ip":
         parts = re.split(r"[^0-9]+", span.strip("()"))
         return len(parts) == 4 and all(p and _small(p) for p in parts)
@@ -299,7 +415,8 @@ def field_spans(texts: list[str], chain: Chain, cache: dict) -> list[list[tuple[
         logits = np.zeros((len(part), int(size.max()), len(_LABELS)))
         for n, (i, run) in enumerate(part):
             logits[n, : len(run)] = chain.logits([_word_features(texts[i][a:b], x, y, cache) for a, b, x, y in run])
-        for (i, run), path in zip(part, viterbi(logits, size, chain.step).tolist(), strict=True):
+        paths = [viterbi_long(logits[n, :s], chain.step).tolist() for n, s in enumerate(size)] if size[0] >= LONG else viterbi(logits, size, chain.step).tolist()
+        for (i, run), path in zip(part, paths, strict=True):
             open_span = None
             for (low, high, *_), label in zip(run, path, strict=False):
                 kind = _LABELS[label][2:]
@@ -347,8 +464,9 @@ def searched(df: DataFrame, text: str = "text", chain: Chain | None = None) -> D
     """``df`` with ``base_spans`` (patterns) and ``all_spans`` (with those of the field)."""
     found = per_row(_search(chain or trained()), f"base {SPAN}, spans {SPAN}")(arrays.text_column(text))
     rest = clear(df, "base_spans", "all_spans").columns
-    df = df.select(*(F.col(f"`{c}`") for c in rest), found.alias("_found"))
-    return df.select(*(F.col(f"`{c}`") for c in rest), F.col("_found.base").alias("base_spans"), F.col("_found.spans").alias("all_spans"))
+    df = df.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(rest)), found.alias("found"))
+    spans = F.col("found.base").alias("base_spans"), F.col("found.spans").alias("all_spans")
+    return df.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(rest)), *spans)
 
 
 def span_text(column: str):
