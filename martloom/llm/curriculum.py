@@ -128,9 +128,60 @@ def planned(
 def training_order(plan: DataFrame) -> DataFrame:
     """One row for each run of a document, range-sorted by training position.
 
-    The rows of ``planned`` with ``pass``, ``taken`` and ``position`` of the run.
+    The rows of ``planned`` with ``pass``, ``taken`` and ``position`` of the run. Equal
+    positions fall to the earlier pass, then to a hash of the row, so reruns agree.
     """
     rest = clear(plan, "passes", "taken", "pass", "position").columns
-    runs = plan.select(*(F.col(f"`{c}`") for c in rest), F.explode("passes").alias("_run"))
-    runs = runs.select(*(F.col(f"`{c}`") for c in rest), "_run.pass", "_run.taken", "_run.position")
-    return runs.orderBy("position")
+    runs = plan.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(rest)), F.explode("passes").alias("run"))
+    tie = F.xxhash64(*(f"c{k}" for k in range(len(rest)))) if rest else F.lit(0)
+    runs = runs.orderBy("run.position", "run.pass", tie)
+    return runs.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(rest)), "run.pass", "run.taken", "run.position")
+
+
+def placed(
+    df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
+    mix: Mix | None = None, columns: list[str] | None = None,
+) -> DataFrame:
+    """``columns`` of each row (default: all) with ``size``, ``source_size``, ``target``, and
+    what its placed runs give: ``taken`` words, ``position`` and ``rank`` of its first run.
+
+    Runs are numbered over the whole mix in training order: a range sort, the number of
+    rows in earlier ranges, and the place in the own one. Rows that are not taken have
+    neither position nor rank.
+    """
+    plan = planned(df, id_col, text, source, mix, columns)
+    keep = clear(plan, "passes", "taken", "position", "rank").columns
+    names = [f"c{k}" for k in range(len(keep))]
+    rows = plan.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)), "passes")
+    rows = stage(rows.withColumn("at", F.monotonically_increasing_id()), "mix-plan")
+    # equal positions fall to the earlier pass and the smaller id; the rest tells rows apart
+    id_at = next((n for c, n in zip(keep, names, strict=True) if c == id_col), None)
+    first = F.col(id_at) if id_at else F.lit(0)
+    runs = rows.select("at", first.alias("id"), F.xxhash64(*names).alias("tie"), F.explode("passes").alias("run"))
+    order = ["position", "pass", "id", "tie", "at"]
+    runs = runs.select("at", "id", "tie", "run.pass", "run.taken", "run.position").repartitionByRange(*order).sortWithinPartitions(*order)
+    # the lower 33 bits of the generated id count rows inside the partition
+    runs = runs.withColumn("part", F.spark_partition_id())
+    runs = stage(runs.withColumn("place", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "mix-order")
+    sizes = runs.groupBy("part").agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # a row per partition
+    ranked = runs.join(F.broadcast(starts), "part").withColumn("rank", F.col("start") + F.col("place") + 1)
+    each = ranked.groupBy("at").agg(F.sum("taken").alias("taken"), F.min("position").alias("position"), F.min("rank").alias("rank"))
+    out = rows.drop("passes").join(each, "at", "left")
+    taken = F.coalesce("taken", F.lit(0).cast("long"))
+    return out.select(*(F.col(n).alias(c) for c, n in zip(keep, names, strict=True)), taken.alias("taken"), "position", "rank")
+
+
+def time_sql(share: str, schedule: Schedule) -> str:
+    """:func:`time_of` as SQL, step by step the same."""
+    areas = [(t1 - t0) * (r0 + r1) / 2 for (t0, r0), (t1, r1) in zip(schedule, schedule[1:], strict=False)]
+    asked, total, cases = 0.0, sum(areas), []
+    number = lambda x: f"CAST({x!r} AS DOUBLE)"
+    for (t0, r0), (t1, r1), area in zip(schedule, schedule[1:], areas, strict=False):
+        x = f"greatest({share} * {number(total)} - {number(asked)}, {number(0.0)})"
+        root = f"sqrt(greatest({number(r0 * r0)} + {x} * {number(2 * (r1 - r0) / (t1 - t0))}, {number(0.0)}))"
+        time = f"{number(t0)} + CASE WHEN {x} > 0 THEN 2 * {x} / ({number(r0)} + {root}) ELSE {number(0.0)} END"
+        asked += area
+        cases.append(f"WHEN {share} <= {number(asked / total)} THEN least({time}, {number(t1)})")
+    return f"CASE {' '.join(cases)} ELSE 1.0 END"

@@ -53,8 +53,8 @@ def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = curriculum.planned(table(spark, sf_dir, "documents"), columns=["doc_id"])
-    return rows.select("doc_id", "size", "source_size", "target", "taken")
+    rows = curriculum.placed(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return rows.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"), "rank")
 
 
 def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,10 +175,17 @@ MIX_SQL = rf"""
                       (1.5::DOUBLE * sum(s) OVER () - coalesce(sum(cap) OVER e, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER e, 0)) AS level
                FROM ranked WINDOW e AS (ORDER BY cap / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
     leveled AS (SELECT source, s, cap, w, (SELECT arg_min(level, (fills_at, k)) FROM filled WHERE fills_at >= level) AS l FROM ranked),
-    aimed AS (SELECT source, s, least(cap, coalesce(l, 1e300) * w) AS target FROM leveled),
-    queued AS (SELECT d.*, a.s, a.target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY substr(md5(doc_id::VARCHAR), 1, 15), doc_id, size
+    aimed AS (SELECT source, s, least(cap, coalesce(l, 1e300) * w) AS target, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM leveled),
+    queued AS (SELECT d.*, a.s, a.target, a.k, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY substr(md5(doc_id::VARCHAR), 1, 15), doc_id, size
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-               FROM sized d JOIN aimed a ON d.source IS NOT DISTINCT FROM a.source)"""
+               FROM sized d JOIN aimed a ON d.source IS NOT DISTINCT FROM a.source),
+    runs AS (SELECT doc_id, k, p, CAST(least(floor(target) - s * p - before, size) AS BIGINT) AS taken,
+                    least((s * p + before) / greatest(target, 1.0::DOUBLE), 1.0::DOUBLE) AS share FROM queued, (VALUES (0), (1)) AS passes(p)),
+    timed AS (SELECT doc_id, p, taken, CASE (k - 1) % """ + str(len(curriculum.Mix().schedules)) + " " + " ".join(
+    f"WHEN {i} THEN {curriculum.time_sql('share', schedule)}" for i, schedule in enumerate(curriculum.Mix().schedules)
+) + """ END AS position FROM runs WHERE taken > 0),
+    firsts AS (SELECT doc_id, sum(taken) AS taken, min(position) AS position, min(rank) AS rank
+               FROM (SELECT *, row_number() OVER (ORDER BY position, p, doc_id) AS rank FROM timed) GROUP BY doc_id)"""
 
 # Word runs, the CRC-32 of each different one bit by bit, and gains of their buckets.
 RESAMPLING_SQL = r"""
@@ -210,9 +217,8 @@ RESAMPLING_SQL = r"""
 
 ORACLE = {
     "op2_curriculum_mix": f"""WITH {MIX_SQL}
-        SELECT doc_id, size, s AS source_size, target,
-               CAST(greatest(least(floor(target) - before, size), 0) + greatest(least(floor(target) - s - before, size), 0) AS BIGINT) AS taken
-        FROM queued""",
+        SELECT doc_id, size, s AS source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, round(position, 9) AS position, rank
+        FROM queued LEFT JOIN firsts USING (doc_id)""",
     "op3_warc_archive": """WITH paid AS (SELECT page_id, encode(coalesce(html, '')) AS p FROM pages),
         summed AS (SELECT page_id, octet_length(p) AS n, sha1(p) AS h FROM paid),
         firsts AS (SELECT h, min(page_id) AS f FROM summed GROUP BY h)
