@@ -59,8 +59,8 @@ def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.new_archive(spark)
-    manifest = warc.write_archive(table(spark, sf_dir, "pages"), archive)
-    rows = warc.read_archive(spark, archive.root, manifest, payloads=False)
+    warc.write_archive(table(spark, sf_dir, "pages"), archive)
+    rows = warc.read_archive(spark, archive.root, payloads=False)
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

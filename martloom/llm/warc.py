@@ -4,8 +4,8 @@ Pages are range-sorted by id; each task writes its range as gzip members, one pe
 record, and starts a new file when the compressed bytes of the current one reach the
 limit. Headers, record ids and digests are made anew from the page, so a task that
 runs again writes the same bytes. A file is written under a temporary name and renamed
-when it is complete; the manifest lists the files of the tasks that ended, and readers
-open only what it lists.
+when it is complete; the manifest lists the files of the tasks that ended. It is the
+last thing to get its name in the archive, and readers open only what it lists.
 
 Of records with equal payloads of at least ``min_bytes`` the one with the smallest page
 id is a response and the others revisit it. Which page that is comes from a narrow
@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 
 from martloom.llm.frames import ship, stage
 from martloom.session import checkpoint_root
+from martloom.sources import files
 
+MANIFEST_NAME = "_manifest"
 MANIFEST = "name string, records long, bytes long, sha256 string"
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 CHUNK = 1 << 20
@@ -166,9 +168,14 @@ def write_archive(pages: DataFrame, archive: Archive, page_id: str = "page_id",
         F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("refers_to"),
     ).unionByName(notes)
     order = F.col("page_id").asc_nulls_last()
-    rows = rows.repartitionByRange(order).sortWithinPartitions(order, F.col("digest").asc_nulls_last(), "url")
-    manifest = rows.mapInArrow(_write(archive), MANIFEST)
-    return stage(manifest, "warc-manifest")
+    # rows equal in id and url are told apart by their payload
+    rows = rows.repartitionByRange(order).sortWithinPartitions(order, F.col("digest").asc_nulls_last(), "url", F.xxhash64("html"), "html")
+    manifest = stage(rows.mapInArrow(_write(archive), MANIFEST), "warc-manifest")
+    # last of all, in one rename: an archive without its manifest is not complete
+    temporary = f"{archive.root}/_{uuid.uuid4().hex}.tmp"
+    manifest.write.json(temporary)
+    files.move(spark, temporary, f"{archive.root}/{MANIFEST_NAME}")
+    return manifest
 
 
 def _base32(column: str):
@@ -243,11 +250,13 @@ def _read(root: str, payloads: bool):
     return read
 
 
-def read_archive(spark: SparkSession, root: str, manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of the files a manifest lists; a file is read as a stream."""
+def read_archive(spark: SparkSession, root: str, manifest: DataFrame | None = None, payloads: bool = True) -> DataFrame:
+    """The records of the files the archive's manifest lists; a file is read as a stream."""
     ship(spark)
-    files = max(1, manifest.count())
-    names = manifest.select("name").repartition(min(files, 10_000))
+    if manifest is None:
+        manifest = spark.read.schema(MANIFEST).json(f"{root}/{MANIFEST_NAME}")
+    many = max(1, manifest.count())
+    names = manifest.select("name").repartition(min(many, 10_000))
     return names.mapInArrow(_read(root, payloads), RECORDS)
 
 
