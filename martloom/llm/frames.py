@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from martloom.session import stage
 
-__all__ = ["clear", "components", "per_row", "ship", "running_total", "stage", "table"]
+__all__ = ["clear", "components", "per_row", "ship", "running_total", "stage", "table", "unused"]
 
 
 _shipped: set[str] = set()
@@ -62,6 +62,14 @@ def clear(df: DataFrame, *made: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in names))
 
 
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have."""
+    names = {c.lower() for c in df.columns}
+    while stem.lower() in names:
+        stem += "_"
+    return stem
+
+
 def running_total(
     df: DataFrame, group: str, order: list[str], value: Column, out: str, rows: int | None = None, per_bucket: int = 128
 ) -> DataFrame:

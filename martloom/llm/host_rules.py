@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm import arrays
-from martloom.llm.frames import clear, per_row, stage
+from martloom.llm.frames import clear, per_row, stage, unused
 from martloom.session import broadcast_if_small
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -113,9 +113,10 @@ def measure(column: pa.Array) -> pa.StructArray:
 def measured(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the five counts; other columns stay in the JVM."""
     count = per_row(measure, ", ".join(f"{c} long" for c in COUNTS))
-    df = clear(df, *COUNTS, "_m") if text not in COUNTS else df
-    df = df.withColumn("_m", count(arrays.text_column(text)))
-    return df.select("*", *(F.col(f"_m.{c}").alias(c) for c in COUNTS)).drop("_m")
+    df = clear(df, *COUNTS) if text not in COUNTS else df
+    spare = unused(df, "_m")
+    df = df.withColumn(spare, count(arrays.text_column(text)))
+    return df.select("*", *(F.col(f"{spare}.{c}").alias(c) for c in COUNTS)).drop(spare)
 
 
 def judged(df: DataFrame, limits: RuleLimits) -> DataFrame:

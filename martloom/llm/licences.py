@@ -26,7 +26,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.frames import clear
+from martloom.llm.frames import clear, unused
 
 OUTPUTS = ("sentences", "licenses", "n_other")
 _BLANK = r"\x20\x09-\x0D"
@@ -209,11 +209,12 @@ def licensed(docs: DataFrame, text: str = "text", columns: list[str] | None = No
     kept = docs if columns is None else docs.select(*(F.col(f"`{c}`") for c in columns))
     kept = [F.col(f"`{c}`") for c in clear(kept, *OUTPUTS).columns]
     every, part = F.lit(KNOWN), F.lit(0)
-    rows = docs.select(*kept, form.alias("_form"))
+    spare = unused(docs, "_form")
+    rows = docs.select(*kept, form.alias(spare))
     rows = rows.select(
         *kept,
-        F.transform(F.regexp_extract_all("_form", every, part), _identified).alias("sentences"),
-        F.size(F.regexp_extract_all(F.regexp_replace("_form", every, F.lit(" ")), F.lit(OTHER), part)).cast("long").alias("n_other"),
+        F.transform(F.regexp_extract_all(spare, every, part), _identified).alias("sentences"),
+        F.size(F.regexp_extract_all(F.regexp_replace(spare, every, F.lit(" ")), F.lit(OTHER), part)).cast("long").alias("n_other"),
     )
     told = F.filter("sentences", lambda k: ~k.isin(*IGNORED))
     spelt = F.array_join(F.transform(told, lambda k: F.concat(F.lit("<"), k, F.lit(">"))), "")
