@@ -1,19 +1,21 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: word-pair seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits (and whatever is not ASCII), A-Z folded. Every
-test item gives its runs of three words as seeds, and all of them are looked up in each
-text. How many other documents hold a seed says nothing about a copy, so no seed is left
-out as common: where two seeds of an item (or one, if the shortest copy that counts has
-no more) lie near each other, there is a candidate region. What keeps alignments few is
-a bound instead: words of the region that the item has count 2, all others -1; no
+test item gives its pairs of neighbouring words as seeds, and all of them are looked up
+in each text. How many other documents hold a seed says nothing about a copy, so no seed
+is left out as common: where three different seeds of an item (or all that the shortest
+copy that counts has) lie near each other, there is a candidate region. Even with every
+third word changed, a copy that scores enough has such pairs. What keeps alignments few is
+a bound: words of the region that the item has count 2, all others -1; no
 alignment scores more than the largest sum of neighbouring words. Runs of words without
 such a sum are cut off, the rest is aligned with the item (match 2, mismatch and gap -1).
 A region is a leak if its score reaches ``share`` of the item's own score, or that of
-``enough`` words.
+``enough`` words. A copy with a word set between any two words keeps no pair and is not found.
 
-Items are read in blocks of ``ITEMS``; each block is sent to the tasks and run
-against all rows, so neither the driver nor a task holds a larger test set. Within a
-document all is done in its task; nothing is shuffled.
+Items are read in blocks of ``ITEMS``. A single block is sent to the tasks and run
+against all rows. Of a larger test set each block is a pass of its own that writes the
+leaks it finds by a key of the text, and the passes are joined with the rows at the end;
+neither the driver nor a task holds more than one block. Within a document all is done in its task.
 
 Null and empty texts have no leak. An item with fewer words than a seed never matches;
 a null item is left out. A repeated row or item gives its matches each time. An input
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm import arrays
-from martloom.llm.frames import clear, per_row, ship
+from martloom.llm.frames import clear, per_row, ship, stage
+from martloom.session import broadcast_if_small
 
 ITEMS = 2000
 PIECE = 1 << 20  # seed places, and words of regions, that are looked at together
-WIDTH = 3
+WIDTH = 2
 LEAK = "array<struct<item_id: long, score: double, end_word: long>>"
 _LEAK_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int64())]))
 
@@ -44,7 +48,7 @@ _LEAK_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64(
 class Alignment:
     """What is a candidate and what is a leak."""
 
-    seeds: int = 2  # different seeds of an item in a region
+    seeds: int = 3  # different seeds of an item in a region
     share: float = 0.5
     enough: int = 25
     slack: int = 8  # words a region is widened by
@@ -258,13 +262,31 @@ def contaminated(
     rules = rules or Alignment()
     spark = df.sparkSession
     ship(spark)
-    column = arrays.text_column(text)
-    results = []
-    for rows in _item_blocks(benchmark, item_id, item_text):
-        items = read_items(rows)
-        if not len(items.seeds):
-            continue
-        results.append(per_row(_find(spark.sparkContext.broadcast(items), rules), LEAK)(column))
-    found = F.concat(*results) if results else F.expr(f"cast(array() as {LEAK})")
     rest = clear(df, "leaks").columns
-    return df.select(*(F.col(f"`{c}`") for c in rest), found.alias("leaks"))
+    names = [f"c{k}" for k in range(len(rest))]
+    rows = df.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(rest, names, strict=True)), arrays.text_column(text).alias("t"))
+    none = F.expr(f"cast(array() as {LEAK})")
+    passes: list[DataFrame] = []
+    blocks = _item_blocks(benchmark, item_id, item_text)
+    block, following = next(blocks, None), next(blocks, None)
+    while block is not None:
+        items = read_items(block)
+        if len(items.seeds):
+            held = spark.sparkContext.broadcast(items)
+            found = per_row(_find(held, rules), LEAK)("t")
+            if following is None and not passes:  # the whole test set is one block
+                return rows.select(*(F.col(n).alias(c) for c, n in zip(rest, names, strict=True)), found.alias("leaks"))
+            # equal texts have equal leaks, so a key of the text stands for its rows
+            wrote = rows.select(_text_key("t").alias("key"), found.alias("leaks")).where(F.size("leaks") > 0).dropDuplicates(["key"])
+            passes.append(stage(wrote, "decontamination"))
+            held.unpersist()
+        block, following = following, next(blocks, None)
+    if not passes:
+        return rows.select(*(F.col(n).alias(c) for c, n in zip(rest, names, strict=True)), none.alias("leaks"))
+    every = reduce(DataFrame.unionByName, passes).groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks"))
+    out = rows.withColumn("key", _text_key("t")).join(broadcast_if_small(stage(every, "decontamination")), "key", "left")
+    return out.select(*(F.col(n).alias(c) for c, n in zip(rest, names, strict=True)), F.coalesce("leaks", none).alias("leaks"))
+
+
+def _text_key(column: str):
+    return F.struct(F.xxhash64(column), F.octet_length(column), F.crc32(F.col(column).cast("binary")))
