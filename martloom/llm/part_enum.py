@@ -9,9 +9,17 @@ agree on two of its parts; the key of a set's share of two parts of a partition
 signature. A set signs in its own band and, if it may link with a larger set, in the
 next one. Bands in which linked sets are equal need no signature.
 
+Where three parts of a partition would hold fewer than four elements each (thresholds
+below 85 %), partitions are not cut: there is one more than two linked sets can differ by
+elements, the subsets are single partitions, and the share of one is a signature. That
+takes fewer signatures, of fewer elements each; so that these are not those that many
+documents hold, the shingles of common passages are all dealt to one partition (any
+deal of the domain is right, the counts behind this one are kept to a bounded size).
+
 Two sets may agree only where both are empty. A band has partitions to spare; a set
 with empty shares in more partitions than that signs again under another deal of the
-domain, as often as needed (both sets of a pair that could be missed do so).
+domain, as often as needed (both sets of a pair that could be missed do so). Uncut
+bands have the spare that makes the expected number of signatures least.
 
 Equal sets are one node from the start. Signatures are met in one sorted shuffle:
 each member is paired with the group's first member, all pairs are taken among its
@@ -23,7 +31,9 @@ and no group is expanded into pairs.
 
 Each set carries the parities of its elements over 512 hashed places. Two sets differ
 by at least as many elements as their parities differ in places, so pairs that cannot
-link are dropped inside the joins that would emit them, before any set is sent.
+link are dropped inside the joins that would emit them, before any set is sent. Sets of
+more elements than places carry parities over as many places as they have elements too;
+of two such sets the wider parities are folded to the narrower ones.
 
 Nodes are 64-bit keys of whole sets, shingles 64-bit keys of words.
 """
@@ -31,7 +41,10 @@ Nodes are 64-bit keys of whole sets, shingles 64-bit keys of words.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
+from math import comb, exp
+from statistics import NormalDist
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -47,22 +60,61 @@ FEW_PAIRS = 4096
 BLOCK = 256
 CELL_ELEMENTS = 1 << 17
 DEALS = 8
+HELD = 1 << 16  # counters of a task that looks for common shingles
+SHARE = 256
+COMMON = 4096
 PARITY = [f"o{i}" for i in range(8)]
-NODE_FIELDS = ", ".join(f"{c} long" for c in ("n_shingles", "node", *PARITY))
+NARROW = 64 * len(PARITY)
+NODE_FIELDS = ", ".join(f"{c} long" for c in ("n_shingles", "node", *PARITY)) + ", wide binary"
+
+
+class Bands(NamedTuple):
+    top: np.ndarray  # upper size of each band
+    parts: np.ndarray  # its number of partitions, 0 where linked sets are equal
+    spare: np.ndarray  # how many of them may be empty in a set
+    cut: int  # parts of a partition
+
+
+def _again(parts: int, empty: float, spare: int) -> float:
+    """Chance that more than ``spare`` of ``parts`` partitions are empty."""
+    if parts > 60:
+        spread = NormalDist(parts * empty, max(1e-9, (parts * empty * (1 - empty)) ** 0.5))
+        return 1 - spread.cdf(spare + 0.5)
+    return max(0.0, 1 - sum(comb(parts, k) * empty**k * (1 - empty) ** (parts - k) for k in range(spare + 1)))
+
+
+def _least_spare(base: int, smallest: int, top: int) -> int:
+    """The spare partitions of an uncut band with the fewest expected signatures over its sizes."""
+    sizes = [smallest + (top - smallest) * k / 4 for k in range(5)]
+
+    def expected(spare: int) -> float:
+        parts = base + spare
+        often = [min(0.999, _again(parts, exp(-n / parts), spare)) for n in sizes]
+        return parts * sum((1 - t**DEALS) / (1 - t) / n for t, n in zip(often, sizes, strict=True))
 
+    return min(range(0, base // 2 + 2, max(1, base // 256)), key=expected)
 
-def bands(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Upper size of each band, its number of partitions and its spare partitions."""
+
+@cache
+def bands(percent: int, doublings: int) -> Bands:
+    """Bands up to a size of 2 to the ``doublings`` and one more."""
+    cut = 3 if (100 + percent) >= 12 * (100 - percent) else 1
     top, low = [], 1
-    while not top or top[-1] < largest or len(top) < 2:
-        high = max(low, low * 5 // 4, low * 100 // percent)
+    while not top or top[-1] < 1 << doublings or len(top) < 2:
+        high = max(low, low * 5 // 4 if cut > 1 else low * 7 // 5, low * 100 // percent)
         top.append(high)
         low = high + 1
     top = np.array(top, np.int64)
     apart = 2 * top * (100 - percent) // (100 + percent)
-    parts = apart // 2 + 1
-    spare = parts // 32
-    return top, np.where(apart > 0, parts + spare, 0), spare
+    if cut > 1:
+        parts = apart // 2 + 1
+        spare = parts // 32
+    else:
+        parts = apart + 1
+        # sets of the band before that may link with larger ones sign here too
+        smallest = np.maximum(1, np.concatenate([[1], top[:-1]]) * percent // 100)
+        spare = np.array([_least_spare(int(p), int(n), int(t)) for p, n, t in zip(parts, smallest, top, strict=True)], np.int64)
+    return Bands(top, np.where(apart > 0, parts + spare, 0), spare, cut)
 
 
 def sets_of(block: arrays.Block, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,9 +162,33 @@ def parities_of(elements: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(elements: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and signatures of the sets of a block."""
-    top, parts, spare = bands(percent, int(size.max(initial=1)) * 2)
+def wide_parities_of(elements: np.ndarray, size: np.ndarray) -> list[bytes | None]:
+    """Parities over a power of two of places, not fewer than a row's elements; None for rows
+    that the narrow parities are enough for."""
+    hashed = arrays.mix(elements ^ np.uint64(0x2545F4914F6CDD1D))
+    out: list[bytes | None] = [None] * len(size)
+    at = np.concatenate([[0], np.cumsum(size)])
+    for k in np.flatnonzero(size > NARROW).tolist():
+        bits = 1 << (int(size[k]) - 1).bit_length()
+        odd = np.bincount((hashed[at[k] : at[k + 1]] & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+        out[k] = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return out
+
+
+def parities_apart(x: bytes, y: bytes) -> int:
+    """In how many places parities differ, the wider ones folded first."""
+    if len(x) > len(y):
+        x, y = y, x
+    a, b, bits = int.from_bytes(x, "little"), int.from_bytes(y, "little"), 8 * len(y)
+    while bits > 8 * len(x):
+        bits //= 2
+        b = (b >> bits) ^ (b & ((1 << bits) - 1))
+    return (a ^ b).bit_count()
+
+
+def signatures(elements: np.ndarray, size: np.ndarray, percent: int, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and signatures of the sets of a block; ``common`` has shingles of many sets, in order."""
+    top, parts, spare, cut = bands(percent, (int(size.max(initial=1)) * 2).bit_length())
     at = np.concatenate([[0], np.cumsum(size)])
     own = np.searchsorted(top, size)
     rows = np.flatnonzero(size > 0)
@@ -122,6 +198,10 @@ def signatures(elements: np.ndarray, size: np.ndarray, percent: int) -> tuple[np
     out_row, out_key = [], []
     signs = parts[band] > 0
     row, band = row[signs], band[signs]
+    often = np.zeros(len(elements), bool)
+    if cut == 1 and common is not None and len(common):
+        often = common[np.minimum(np.searchsorted(common, elements), len(common) - 1)] == elements
+    subsets = ((0, 1), (0, 2), (1, 2)) if cut == 3 else ((0,),)
     for deal in range(DEALS):
         if not len(row):
             break
@@ -132,22 +212,24 @@ def signatures(elements: np.ndarray, size: np.ndarray, percent: int) -> tuple[np
         count = parts[band]
         base = np.concatenate([[0], np.cumsum(count)])
         part = ((mixed >> np.uint64(32)) * np.repeat(count, n).astype(np.uint64)) >> np.uint64(32)
-        third = (mixed & np.uint64(0xFFFFFFFF)) % np.uint64(3)
-        cell = (np.repeat(base[:-1], n) + part.astype(np.int64)) * 3 + third.astype(np.int64)
+        part[often[pick]] = deal % 2
+        cell = np.repeat(base[:-1], n) + part.astype(np.int64)
+        if cut > 1:
+            cell = cell * cut + ((mixed & np.uint64(0xFFFFFFFF)) % np.uint64(cut)).astype(np.int64)
         share = arrays.mix(mixed)
-        low = np.bincount(cell, (share & np.uint64(0xFFFFFFFF)).astype(np.float64), 3 * base[-1]).astype(np.uint64)
-        high = np.bincount(cell, (share >> np.uint64(32)).astype(np.float64), 3 * base[-1]).astype(np.uint64)
-        total = (low + (high << np.uint64(32))).reshape(-1, 3)
-        filled = np.bincount(cell, minlength=3 * base[-1]).reshape(-1, 3) > 0
+        low = np.bincount(cell, (share & np.uint64(0xFFFFFFFF)).astype(np.float64), cut * base[-1]).astype(np.uint64)
+        high = np.bincount(cell, (share >> np.uint64(32)).astype(np.float64), cut * base[-1]).astype(np.uint64)
+        total = (low + (high << np.uint64(32))).reshape(-1, cut)
+        filled = np.bincount(cell, minlength=cut * base[-1]).reshape(-1, cut) > 0
         owner = np.repeat(np.arange(len(row)), count)
         place = np.arange(base[-1]) - np.repeat(base[:-1], count)
         tag = (np.repeat(band, count) * DEALS + deal).astype(np.uint64) << np.uint64(32) | place.astype(np.uint64)
         poor = np.zeros(len(owner), bool)
-        for k, (x, y) in enumerate(((0, 1), (0, 2), (1, 2))):
-            say = filled[:, x] | filled[:, y]
+        for k, some in enumerate(subsets):
+            say = filled[:, some].any(axis=1)
             poor |= ~say
             say |= deal == DEALS - 1
-            key = arrays.mix(total[:, x] + total[:, y] ^ arrays.mix(tag * np.uint64(3) + np.uint64(k)))
+            key = arrays.mix(total[:, some].sum(axis=1, dtype=np.uint64) ^ arrays.mix(tag * np.uint64(3) + np.uint64(k)))
             out_row.append(row[owner[say]])
             out_key.append(key[say])
         again = np.bincount(owner[poor], minlength=len(row)) > spare[band]
@@ -157,21 +239,54 @@ def signatures(elements: np.ndarray, size: np.ndarray, percent: int) -> tuple[np
     return np.concatenate(out_row), np.concatenate(out_key).view(np.int64)
 
 
+def _counted(width: int):
+    """Shingles of many texts of a task with lower bounds of their number of texts.
+
+    Frequent items in bounded space: over ``HELD`` counters, the smallest kept one is
+    taken off all.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for batch in batches:
+            for block in arrays.blocks(batch.column(0)):
+                elements, _ = sets_of(block, width)
+                new, n = np.unique(elements, return_counts=True)
+                keys, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
+                times = np.bincount(at, np.concatenate([times, n]), len(keys)).astype(np.int64)
+                if len(keys) > HELD:
+                    times = times - np.partition(times, len(times) - HELD - 1)[len(times) - HELD - 1]
+                    keys, times = keys[times > 0], times[times > 0]
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(times)], names=["element", "n"])
+
+    return counted
+
+
+def common_shingles(texts: DataFrame, width: int, rows: int) -> np.ndarray:
+    """Shingles that clearly more than 1/``SHARE`` of the rows hold, at most ``COMMON`` of them."""
+    found = texts.mapInArrow(_counted(width), "element long, n long").where("n > 1")
+    found = found.groupBy("element").agg(F.sum("n").alias("n")).where(F.col("n") * SHARE > rows)
+    found = found.where("n > 16").orderBy(F.col("n").desc(), "element").limit(COMMON).collect()
+    return np.sort(np.array([r["element"] for r in found], np.int64).view(np.uint64))
+
+
 def _nodes(width: int):
     def nodes(column: pa.Array) -> pa.Array:
         size, key = np.zeros(len(column), np.int64), np.zeros(len(column), np.int64)
         odd = np.zeros((len(column), len(PARITY)), np.int64)
+        wide: list[bytes | None] = []
         for block in arrays.blocks(column):
             elements, sizes = sets_of(block, width)
             rows = slice(block.first, block.first + len(sizes))
             size[rows], key[rows], odd[rows] = sizes, nodes_of(elements, sizes), parities_of(elements, sizes)
-        fields = [size, key, *(np.ascontiguousarray(o) for o in odd.T)]
-        return pa.StructArray.from_arrays([pa.array(f) for f in fields], names=["n_shingles", "node", *PARITY])
+            wide += wide_parities_of(elements, sizes)
+        fields = [pa.array(f) for f in (size, key, *(np.ascontiguousarray(o) for o in odd.T))]
+        return pa.StructArray.from_arrays([*fields, pa.array(wide, pa.binary())], names=["n_shingles", "node", *PARITY, "wide"])
 
     return nodes
 
 
-def _sign(width: int, percent: int):
+def _sign(width: int, percent: int, common: np.ndarray | None = None):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # sets this task has signed; as many as it has rows at most
         for batch in batches:
@@ -184,7 +299,7 @@ def _sign(width: int, percent: int):
                         seen.add(key)
                         fresh[i] = True
                 keep = np.repeat(fresh, size)
-                row, sig = signatures(elements[keep], size[fresh], percent)
+                row, sig = signatures(elements[keep], size[fresh], percent, common)
                 yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node[fresh][row])], names=["sig", "node"])
 
     return sign
@@ -347,6 +462,27 @@ def _fitting(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.where(_may_link(percent)).select("a", "b")
 
 
+def _apart(percent: int):
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of large sets (a, b, x, y, sum of sizes) whose wide parities allow a link."""
+        for batch in batches:
+            rows = zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)
+            keep = [(100 + percent) * parities_apart(x, y) <= (100 - percent) * n for x, y, n in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return apart
+
+
+def _widely_fitting(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose wide parities allow a link, where both sets have them."""
+    side = broadcast_if_small(wide)
+    left = side.select(F.col("node").alias("a"), F.col("wide").alias("x"), F.col("n").alias("xn"))
+    right = side.select(F.col("node").alias("b"), F.col("wide").alias("y"), F.col("n").alias("yn"))
+    both = stage(pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "x", "y", (F.col("xn") + F.col("yn")).alias("n")), "part-enum-wide")
+    large = both.where("n IS NOT NULL").mapInArrow(_apart(percent), "a long, b long")
+    return both.where("n IS NULL").select("a", "b").union(large)
+
+
 def _mains(members: DataFrame) -> DataFrame:
     """Main component, its members and all members of each group of several components."""
     shares = members.groupBy("sig", "root").agg(F.count("*").alias("k"))
@@ -382,7 +518,9 @@ def _gathered(wide: DataFrame) -> DataFrame:
     return single.unionByName(joint.select("sig", "node", "root", "most", "g", "outside"))
 
 
-def _open(members: DataFrame, roots: DataFrame, nodes: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _open(
+    members: DataFrame, roots: DataFrame, nodes: DataFrame, wide_odd: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
     """Links that large groups still have between their open members and the rest.
 
     Where these are up to ``FEW_PAIRS`` pairs, a pair is looked at once for all its
@@ -399,7 +537,7 @@ def _open(members: DataFrame, roots: DataFrame, nodes: DataFrame, pairs: DataFra
     left, right = left.join(_side(nodes, "u", "x"), "u"), right.join(_side(nodes, "v", "y"), "v")
     near = left.join(right, "sig").where((F.col("ru") != F.col("rv")) & _may_link(percent))
     near = near.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
-    near = stage(near.join(pairs, ["a", "b"], "left_anti"), "part-enum-near")
+    near = stage(_widely_fitting(near.join(pairs, ["a", "b"], "left_anti"), wide_odd, percent), "part-enum-near")
     found = _links(near, sets, percent)
 
     many = _gathered(wide.where("NOT few"))
@@ -414,7 +552,8 @@ def _open(members: DataFrame, roots: DataFrame, nodes: DataFrame, pairs: DataFra
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)).alias("m"), F.pmod(slot, "ob").alias("o"),
     )
     rows = as_member.unionByName(as_open).withColumn("cell", F.xxhash64("sig", "m", "o"))
-    rows = rows.select("cell", "node", "root", "outside").join(sets, "node")
+    rows = stage(rows.select("cell", "node", "root", "outside"), "part-enum-cells")
+    rows = sets.join(broadcast_if_small(rows), "node").select("cell", "node", "root", "outside", "elements")
     return found.union(rows.groupBy("cell").applyInArrow(_open_links(percent), "u long, v long"))
 
 
@@ -423,7 +562,7 @@ def shingle_sets(df: DataFrame, id_col: str = "doc_id", text: str = "text", widt
     parities of each row."""
     made = per_row(_nodes(width), NODE_FIELDS)
     rows = df.select(F.col(f"`{id_col}`").alias("id"), arrays.text_column(text).alias("_t"))
-    return rows.select("id", made("_t").alias("_s")).select("id", "_s.*")
+    return rows.select("id", made("_t").alias("_s")).select("id", "_s.*")  # with the wide parities of large sets
 
 
 def similar_components(
@@ -440,7 +579,9 @@ def similar_components(
     ship(spark)
     rows = stage(shingle_sets(df, id_col, text, width), "part-enum-rows")
     texts = df.select(arrays.text_column(text).alias("_t"))
-    signed = texts.mapInArrow(_sign(width, percent), "sig long, node long")
+    uncut = bands(percent, 1).cut == 1
+    common = common_shingles(texts, width, rows.count()) if uncut else None
+    signed = texts.mapInArrow(_sign(width, percent, common), "sig long, node long")
     signed = signed.repartition("sig").sortWithinPartitions("sig", "node")
     met = stage(signed.mapInArrow(_meet, "kind byte, a long, b long"), "part-enum-met")
     members = met.where("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("node"))
@@ -448,7 +589,10 @@ def similar_components(
         F.min("id").alias("least"), F.max("n_shingles").alias("n"), *[F.max(o).alias(o) for o in PARITY]
     )
     nodes = stage(nodes, "part-enum-nodes")
-    pairs = stage(_fitting(met.where("kind = 0").select("a", "b").distinct(), nodes, percent), "part-enum-pairs")
+    wide = rows.where("wide IS NOT NULL").select("node", "wide", F.col("n_shingles").alias("n")).dropDuplicates(["node"])
+    wide = stage(wide, "part-enum-parities")
+    pairs = _fitting(met.where("kind = 0").select("a", "b").distinct(), nodes, percent)
+    pairs = stage(_widely_fitting(pairs, wide, percent), "part-enum-pairs")
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(members.select("node")).distinct()
     carriers = nodes.join(wanted, "node").select(F.col("least").alias("_id"), F.col("node").alias("_node"))
@@ -471,7 +615,7 @@ def similar_components(
 
     links = stage(_links(pairs, sets, percent), "part-enum-links")
     roots = components(links, "part-enum-roots")
-    more = stage(_open(members, roots, nodes, pairs, sets, percent), "part-enum-more")
+    more = stage(_open(members, roots, nodes, wide, pairs, sets, percent), "part-enum-more")
     edges = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more)
     roots = components(edges, "part-enum-roots")
 
