@@ -272,10 +272,11 @@ class Outcomes:
     columns: tuple[str, ...]
     reasons: tuple[str, ...]
     seen: tuple[Mapping[str, str], ...]
+    written: bool = False
 
     def staged(self, label: str) -> Outcomes:
         """The same outcomes, evaluated once and read back."""
-        return replace(self, rows=stage(self.rows, label))
+        return replace(self, rows=stage(self.rows, label), written=True)
 
 
 def outcomes(df: DataFrame, checks: Sequence[Check]) -> Outcomes:
@@ -309,7 +310,11 @@ def outcomes(df: DataFrame, checks: Sequence[Check]) -> Outcomes:
 
 
 def survivors(found: Outcomes) -> DataFrame:
-    return found.rows.where(ALIVE).select(*[as_col(c) for c in found.columns])
+    if found.written:
+        return found.rows.where(ALIVE).select(*[as_col(c) for c in found.columns])
+    # a filter on the chain would be moved below it and evaluate it a second time
+    row = F.struct(*[as_col(c) for c in found.columns])
+    return found.rows.select(F.explode(F.array(F.when(F.col(ALIVE), row))).alias("_r")).where("_r IS NOT NULL").select("_r.*")
 
 
 def _unfold(found: Outcomes, kept: bool) -> DataFrame:
