@@ -7,10 +7,11 @@ token ends are compared in stretches that double while they agree and halve afte
 so a one-to-one stretch is jumped in few comparisons; the irregular group behind it is
 resolved by advancing the shorter side, and the shift is updated.
 
-A text is cut before it is encoded, at single blanks between visible ASCII characters,
+A text is cut before it is encoded, at single blanks between visible characters,
 where neither tokenizer has a token across and both have a token's end; so no group
-reaches over a cut, and encoding and alignment are done once for each different piece
-that a worker remembers. Memory follows ``REMEMBERED`` and the longest text.
+reaches over a cut, and encoding, alignment, id pairs and the digest's text are made once
+for each different piece that a worker remembers. Memory follows ``REMEMBERED``,
+``LINKED`` and the longest text.
 Each row keeps its different id pairs. Their counts over all rows are one aggregate with
 map-side combine. The counts are then looked up twice: those of the commonest pairs, at
 most ``HOT`` of them, in every task's memory, the others by a join on the pair.
@@ -27,6 +28,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain, compress, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +42,16 @@ FOLDER = "/opt/tokenizers"
 NAMES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 MADE = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 CHUNK = 1 << 18
-REMEMBERED = 1 << 19  # pieces
+REMEMBERED = 3 << 17  # pieces
 LONGEST = 1 << 24  # characters of remembered pieces
+LINKED = 1 << 23  # different id pairs of remembered pieces
+JOINED = 1 << 12  # characters of pieces encoded as one text
 WIDE = 1024  # links from which a group's different ids are counted before they are paired
 HOT = 1 << 20
-CUT = re.compile("(?<=[!-~]) (?=[!-~])")
+# no control character and nothing that a version of Unicode calls white space or a format mark
+VISIBLE = "[^\\x00- \\x7f-\\xa0\\u1680\\u180e\\u2000-\\u206f\\u3000\\ufeff]"
+CUT = re.compile(f" (?<={VISIBLE} )(?={VISIBLE})")
+WHOLE = re.compile(f"(?={VISIBLE}).*(?<={VISIBLE})", re.DOTALL)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -76,7 +83,7 @@ class Pair:
         self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
         # pieces are only right if no token has a blank behind a visible character
-        self.cuts = not any(re.search(b"[!-~] ", x) for x in [*self.bytes_a, *self.bytes_b])
+        self.cuts = not any(re.search(f"{VISIBLE} ", x.decode(errors="replace")) for x in [*self.bytes_a, *self.bytes_b])
         most = max(len(self.bytes_a), len(self.bytes_b))
         wide = len(str(most))
         self.digits = np.zeros((most, wide + 1), np.uint8)  # the last column is for a separator
@@ -89,8 +96,31 @@ class Pair:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.length = 0
-        self.whole = np.zeros(0, bool)  # do both tokenizers give the piece back
-        self.a, self.b, self.in_a, self.in_b = (Lists() for _ in range(4))
+        self.whole = Grown(bool)  # do both tokenizers give the piece back
+        self.a, self.b, self.in_a, self.in_b = (Lists(np.int32) for _ in range(4))
+        self.keys, self.times = Lists(), Lists()  # the different id pairs of a piece and their links
+        self.links = Grown()
+        self.spelt: list[bytes] = []  # the groups of a piece as text
+        self.again = Grown(bool)  # pieces that came up again since there was room for them
+
+    def make_room(self) -> None:
+        """Forget the pieces that did not come up again, or all if the others fill half the room."""
+        was = dict(vars(self))
+        kept = np.flatnonzero(self.again.all)
+        some = self.again.all.tolist()
+        names = list(compress(self.known, some))  # in the order of their numbers
+        length = sum(map(len, names))
+        full = 2 * len(names) > REMEMBERED or 2 * length > LONGEST or 2 * self.keys.sizes(kept).sum() > LINKED
+        self.forget()
+        if full or not names:
+            return
+        self.known, self.length = dict(zip(names, range(len(names)), strict=True)), length
+        for name in ("a", "b", "in_a", "in_b", "keys", "times"):
+            getattr(self, name).add(was[name].take(kept), was[name].sizes(kept))
+        self.whole.add(was["whole"].all[kept])
+        self.links.add(was["links"].all[kept])
+        self.again.add(np.zeros(len(kept), bool))
+        self.spelt = list(compress(was["spelt"], some))
 
     def pieces(self, text: str) -> list[str]:
         """The text cut at blanks that both tokenizers begin a token with; the blanks go."""
@@ -107,70 +137,164 @@ class Pair:
             out.append((np.array(x, np.int64), np.array(y, np.int64)) if same else None)
         return out
 
+    def encode_joined(self, plain: list[str]) -> tuple[list[str], list[str], list[np.ndarray]]:
+        """Pieces that begin and end with a visible character encoded as texts of about
+        ``JOINED`` characters, with blanks between them that neither tokenizer reaches over:
+        the pieces so encoded, those of texts that do not come back, and the ids of both sides."""
+        upto = np.cumsum(np.array([len(p) + 1 for p in plain], np.int64))
+        starts = np.flatnonzero(np.diff(upto // JOINED, prepend=-1)).tolist()
+        some = [plain[a:b] for a, b in pairwise([*starts, len(plain)])]
+        found = self.encode([" ".join(own) for own in some])
+        held = [own for own, f in zip(some, found, strict=True) if f is not None]
+        lost = [own for own, f in zip(some, found, strict=True) if f is None]
+        ids = [np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found if f is not None)]) for k in (0, 1)]
+        return list(chain.from_iterable(held)), list(chain.from_iterable(lost)), ids
+
     def learn(self, pieces: list[str]) -> None:
-        """Encode and align pieces that are not known yet.
-
-        Those that begin and end with a visible character are encoded as one text, with
-        blanks between them that neither tokenizer reaches over.
-        """
-        plain = [p for p in pieces if self.cuts and "!" <= p[0] <= "~" and "!" <= p[-1] <= "~"]
-        joined = self.encode([" ".join(plain)])[0] if len(plain) > 1 else None
-        if joined is None:
-            plain = []
+        """Encode and align pieces that are not known yet."""
+        plain = [p for p in pieces if WHOLE.fullmatch(p)] if self.cuts else []
         taken = set(plain)
-        single = [p for p in pieces if p not in taken]
+        plain, lost, joined = self.encode_joined(plain)
+        single = [*lost, *(p for p in pieces if p not in taken)]
         found = self.encode(single)
-        sizes = []
+        ends = np.cumsum(np.fromiter(map(len, map(str.encode, plain)), np.int64, len(plain)) + 1)
+        sizes, ids = [], []
         for k, size in enumerate((self.size_a, self.size_b)):
             own = [0 if f is None else len(f[k]) for f in found]
-            if plain:
-                ends = np.cumsum([len(p.encode()) + 1 for p in plain])
-                own = [*np.diff(np.searchsorted(np.cumsum(size[joined[k]]), ends, "right"), prepend=0), *own]
-            sizes.append(np.array(own, np.int64))
-        a, b = (np.concatenate([np.zeros(0, np.int64), *([joined[k]] if plain else []), *(f[k] for f in found if f is not None)]) for k in (0, 1))
-        upto_a, upto_b = groups(np.cumsum(self.size_a[a]).tolist(), np.cumsum(self.size_b[b]).tolist())
+            sizes.append(np.concatenate([np.diff(np.searchsorted(np.cumsum(size[joined[k]]), ends, "right"), prepend=0), np.array(own, np.int64)]))
+            ids.append(np.concatenate([joined[k], *(f[k] for f in found if f is not None)]))
+        a, b = ids
+        upto_a, upto_b = (np.array(x, np.int64) for x in groups(np.cumsum(self.size_a[a]).tolist(), np.cumsum(self.size_b[b]).tolist()))
         many = np.diff(np.searchsorted(upto_a, np.cumsum(sizes[0]), "right"), prepend=0)
+        in_a, in_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
+        row = np.repeat(np.arange(len(many)), many)
+        of, keys, times = self.linked(row, a, b, in_a, in_b)
+        linked = np.bincount(of, minlength=len(many))
         self.a.add(a, sizes[0])
         self.b.add(b, sizes[1])
-        self.in_a.add(np.diff(upto_a, prepend=0), many)
-        self.in_b.add(np.diff(upto_b, prepend=0), many)
-        self.whole = np.concatenate([self.whole, np.ones(len(plain), bool), np.array([f is not None for f in found], bool)])
-        for piece in (*plain, *single):
-            self.known[piece] = len(self.known)
-            self.length += len(piece)
+        self.in_a.add(in_a, many)
+        self.in_b.add(in_b, many)
+        self.keys.add(keys, linked)
+        self.times.add(times, linked)
+        self.links.add(np.bincount(row, in_a * in_b, len(many)).astype(np.int64))
+        self.spelt += self.spell(a, b, in_a, in_b, sizes[0] + sizes[1])
+        self.whole.add(np.concatenate([np.ones(len(plain), bool), np.array([f is not None for f in found], bool)]))
+        self.known.update(zip([*plain, *single], range(len(self.known), len(self.known) + len(pieces)), strict=True))
+        self.again.add(np.zeros(len(pieces), bool))
+        self.length += sum(map(len, pieces))
+
+    def linked(self, row: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, id pair and number of links of the different pairs of each row's groups, in order."""
+        many, second = in_a * in_b, len(self.bytes_b)
+        first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        few = np.flatnonzero(many <= WIDE)
+        n = many[few]
+        own = np.repeat(few, n)
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        a = ids_a[first_a[own] + at // in_b[own]]
+        b = ids_b[first_b[own] + at % in_b[own]]
+        rows, keys, times = [row[own]], [a * second + b], [np.ones(len(own), np.int64)]
+        for g in np.flatnonzero(many > WIDE):
+            x, nx = np.unique(ids_a[first_a[g] : first_a[g] + in_a[g]], return_counts=True)
+            y, ny = np.unique(ids_b[first_b[g] : first_b[g] + in_b[g]], return_counts=True)
+            keys.append((x[:, None] * second + y).ravel())
+            times.append((nx[:, None] * ny).ravel())
+            rows.append(np.full(len(keys[-1]), row[g]))
+        return self.summed(*(np.concatenate(z) for z in (rows, keys, times)))
+
+    def summed(self, row: np.ndarray, key: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The different id pairs of each row with the sum of their links, in order."""
+        space = len(self.bytes_a) * len(self.bytes_b)
+        every = row * space + key
+        order = np.argsort(every)
+        every = every[order]
+        starts = np.flatnonzero(np.diff(every, prepend=-1))
+        total = np.add.reduceat(links[order], starts) if len(starts) else np.zeros(0, np.int64)
+        return every[starts] // space, every[starts] % space, total
+
+    def spell(self, ids_a: np.ndarray, ids_b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, tokens: np.ndarray) -> list[bytes]:
+        """The groups of pieces with so many ``tokens`` (of both sides) as text."""
+        before_b, upto_a = np.cumsum(in_b) - in_b, np.cumsum(in_a)
+        place_a = np.arange(len(ids_a)) + np.repeat(before_b, in_a)
+        place_b = np.arange(len(ids_b)) + np.repeat(upto_a, in_b)
+        ids = np.empty(len(ids_a) + len(ids_b), np.int64)
+        mark = np.full(len(ids), ord(","), np.uint8)
+        ids[place_a], ids[place_b] = ids_a, ids_b
+        mark[place_a[upto_a - 1]] = ord("|")
+        mark[place_b[np.cumsum(in_b) - 1]] = ord(";")
+        upto = np.cumsum(tokens)
+        mark[upto[tokens > 0] - 1] = 0
+        text = self.digits[ids]
+        text[:, -1] = mark
+        said = text != 0
+        raw = text[said].tobytes()
+        ends = np.concatenate([[0], np.cumsum(said.sum(axis=1))])[upto].tolist()
+        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def looked_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the pieces of all texts, one after the other, and how many each text has;
         none for texts that one tokenizer does not give back."""
-        if len(self.known) > REMEMBERED or self.length > LONGEST:
-            self.forget()
+        if len(self.known) > REMEMBERED or self.length > LONGEST or self.keys.flat.n > LINKED:
+            self.make_room()
         parts = [self.pieces(t) for t in texts]
-        new = list(dict.fromkeys(p for some in parts for p in some if p not in self.known))
-        if new:
+        flat = list(chain.from_iterable(parts))
+        every = dict.fromkeys(flat)  # smaller than what is known, so it is asked for each occurrence
+        number = np.fromiter(map(self.known.get, every, repeat(-1)), np.int64, len(every))
+        missing = number < 0
+        self.again.held[number[~missing]] = True
+        if missing.any():
+            new = list(compress(every, missing.tolist()))
             self.learn(new)
-        number = self.known.__getitem__
-        found = np.fromiter((number(p) for some in parts for p in some), np.int64)
+            number[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        every = dict(zip(every, range(len(every)), strict=True))
+        found = number[np.fromiter(map(every.__getitem__, flat), np.int64, len(flat))]
         many = np.array([len(some) for some in parts], np.int64)
+        whole = self.whole.all[found]
+        if whole.all():
+            return found, many
         row = np.repeat(np.arange(len(texts)), many)
-        broken = np.bincount(row, ~self.whole[found], len(texts)) > 0
+        broken = np.bincount(row, ~whole, len(texts)) > 0
         return found[~broken[row]], np.where(broken, 0, many)
 
 
+class Grown:
+    """An array that numbers are appended to."""
+
+    def __init__(self, kind: type = np.int64) -> None:
+        self.held, self.n = np.zeros(1024, kind), 0
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.held[: self.n]
+
+    def add(self, more: np.ndarray) -> None:
+        n = self.n + len(more)
+        if n > len(self.held):
+            held = np.empty(2 * n, self.held.dtype)
+            held[: self.n] = self.all
+            self.held = held
+        self.held[self.n : n] = more
+        self.n = n
+
+
 class Lists:
     """Lists of numbers in one array, with those of any selection in its order."""
 
-    def __init__(self) -> None:
-        self.flat, self.at = np.zeros(0, np.int64), np.zeros(1, np.int64)
+    def __init__(self, kind: type = np.int64) -> None:
+        self.flat, self.at = Grown(kind), Grown()
+        self.at.add(np.zeros(1, np.int64))
 
     def add(self, flat: np.ndarray, size: np.ndarray) -> None:
-        self.flat = np.concatenate([self.flat, flat.astype(np.int64)])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(size)])
+        self.flat.add(flat)
+        self.at.add(self.at.all[-1] + np.cumsum(size))
+
+    def sizes(self, which: np.ndarray) -> np.ndarray:
+        return self.at.all[which + 1] - self.at.all[which]
 
-    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of the lists ``which`` and the lists' lengths."""
-        size = self.at[which + 1] - self.at[which]
-        own = np.repeat(self.at[which] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return self.flat[own], size
+    def take(self, which: np.ndarray) -> np.ndarray:
+        """The numbers of the lists ``which``."""
+        size = self.sizes(which)
+        return self.flat.all[np.repeat(self.at.all[which] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
 
 
 _pairs: dict[tuple[str, tuple[str, str]], Pair] = {}
@@ -225,60 +349,32 @@ class Aligned:
 
     def __init__(self, pair: Pair, texts: list[str]):
         self.pair = pair
-        which, many = pair.looked_up(texts)
-        text, n = np.repeat(np.arange(len(texts)), many), len(texts)
-        self.ids_a, size_a = pair.a.take(which)
-        self.ids_b, size_b = pair.b.take(which)
-        self.in_a, groups_ = pair.in_a.take(which)
-        self.in_b, _ = pair.in_b.take(which)
-        self.row = np.repeat(text, groups_)
-        self.n_a, self.n_b, self.n_groups = (np.bincount(text, x, n).astype(np.int64) for x in (size_a, size_b, groups_))
-        self.n_links = np.bincount(self.row, self.in_a * self.in_b, n).astype(np.int64)
+        self.which, self.many = pair.looked_up(texts)
+        self.lists = {"ids_a": pair.a, "ids_b": pair.b, "in_a": pair.in_a, "in_b": pair.in_b, "keys": pair.keys, "times": pair.times}
+        self.spelt = pair.spelt  # also when the worker forgets
+        self.row = np.repeat(np.arange(len(texts)), self.many)
+        held = (*(x.sizes(self.which) for x in (pair.a, pair.b, pair.in_a)), pair.links.all[self.which])
+        self.n_a, self.n_b, self.n_groups, self.n_links = (np.bincount(self.row, x, len(texts)).astype(np.int64) for x in held)
+
+    ids_a = property(lambda self: self.lists["ids_a"].take(self.which))
+    ids_b = property(lambda self: self.lists["ids_b"].take(self.which))
+    in_a = property(lambda self: self.lists["in_a"].take(self.which))
+    in_b = property(lambda self: self.lists["in_b"].take(self.which))
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, id pair and number of links of the different pairs of each row, in order."""
-        many, second = self.in_a * self.in_b, len(self.pair.bytes_b)
-        first_a, first_b = np.cumsum(self.in_a) - self.in_a, np.cumsum(self.in_b) - self.in_b
-        few = np.flatnonzero(many <= WIDE)
-        n = many[few]
-        own = np.repeat(few, n)
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        a = self.ids_a[first_a[own] + at // self.in_b[own]]
-        b = self.ids_b[first_b[own] + at % self.in_b[own]]
-        rows, keys, times = [self.row[own]], [a * second + b], [np.ones(len(own), np.int64)]
-        for g in np.flatnonzero(many > WIDE):
-            x, nx = np.unique(self.ids_a[first_a[g] : first_a[g] + self.in_a[g]], return_counts=True)
-            y, ny = np.unique(self.ids_b[first_b[g] : first_b[g] + self.in_b[g]], return_counts=True)
-            keys.append((x[:, None] * second + y).ravel())
-            times.append((nx[:, None] * ny).ravel())
-            rows.append(np.full(len(keys[-1]), self.row[g]))
-        row, key, links = (np.concatenate(z) for z in (rows, keys, times))
-        space = len(self.pair.bytes_a) * second
-        every, inverse = np.unique(row * space + key, return_inverse=True)
-        return every // space, every % space, np.bincount(inverse, links, len(every)).astype(np.int64)
+        space = len(self.spelt)
+        every, often = np.unique(self.row * space + self.which, return_counts=True)
+        which = every % max(1, space)
+        size = self.lists["keys"].sizes(which)
+        row, times = np.repeat(every // max(1, space), size), np.repeat(often, size)
+        return self.pair.summed(row, self.lists["keys"].take(which), self.lists["times"].take(which) * times)
 
     def digests(self) -> list[str]:
         """SHA-256 of each row's groups as text, '' for rows without tokens."""
-        before_b, upto_a = np.cumsum(self.in_b) - self.in_b, np.cumsum(self.in_a)
-        of_a = np.repeat(np.arange(len(self.in_a)), self.in_a)
-        of_b = np.repeat(np.arange(len(self.in_b)), self.in_b)
-        place_a = np.arange(len(self.ids_a)) + before_b[of_a]
-        place_b = np.arange(len(self.ids_b)) + upto_a[of_b]
-        ids = np.empty(len(self.ids_a) + len(self.ids_b), np.int64)
-        mark = np.full(len(ids), ord(","), np.uint8)
-        ids[place_a], ids[place_b] = self.ids_a, self.ids_b
-        mark[place_a[upto_a - 1]] = ord("|")
-        mark[place_b[np.cumsum(self.in_b) - 1]] = ord(";")
-        tokens = np.cumsum(self.n_a + self.n_b)
-        some = self.n_a > 0
-        mark[tokens[some] - 1] = 0
-        text = self.pair.digits[ids]
-        text[:, -1] = mark
-        said = text != 0
-        upto = np.concatenate([[0], np.cumsum(said.sum(axis=1))])
-        raw = text[said].tobytes()
-        ends = upto[tokens].tolist()
-        return [hashlib.sha256(raw[a:b]).hexdigest() if b > a else "" for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        said = list(map(self.spelt.__getitem__, self.which.tolist()))
+        ends = np.cumsum(self.many).tolist()
+        return [hashlib.sha256(b";".join(said[a:b])).hexdigest() if b > a else "" for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 def _chunks(column: pa.Array) -> Iterator[list[str]]:

@@ -108,6 +108,69 @@ def test_large_groups_count_like_small_ones(monkeypatch):
     assert [x.tolist() for x in found.pairs()] == want
 
 
+def test_words_with_any_letters_are_pieces_of_their_own():
+    pair = alignment.loaded()
+    words = ["der", "ähnliche", "Éclat", "é", "ñandú,", "日本", "слово", "£5", "ende"]
+    assert pair.cuts and pair.pieces(" ".join(words)) == words
+    for blank in "\u00a0\u3000\u200b\u180e\ufeff\u0085\x1c\x00\t":
+        assert pair.pieces(f"a {blank} b {blank}c") == [f"a {blank} b {blank}c"]
+
+
+def test_blanks_beside_odd_characters():
+    rng = random.Random(6)
+    pair = alignment.loaded()
+    odd = [*"é日ßЖ😀\u0301\u200d\u00a0\u00ad\u2007\u2028\u3000\u200b\u180e\ufeff\ufffd\u0085\x1c\x7f", "a", "'s", "1", "½", ".", "\n", "\t", "", "ñandú"]
+    for _ in range(600):
+        text = " ".join(rng.choice(odd) + rng.choice(odd) for _ in range(rng.randint(1, 30)))
+        found = alignment.Aligned(pair, [text])
+        assert [found.ids_a.tolist(), found.ids_b.tolist()] == [list(x) for x in ids(text)]
+
+
+def test_pieces_that_come_up_again_are_not_encoded_again(monkeypatch):
+    pair, asked = alignment.loaded(), []
+    pair.forget()
+    encode = pair.encode
+    monkeypatch.setattr(alignment, "REMEMBERED", 40)
+    monkeypatch.setattr(pair, "encode", lambda texts: [asked.extend(t.split(" ") for t in texts), encode(texts)][1])
+    common = "the Über naïve words éclat"
+    for k in range(30):
+        text = f"{common} one{k} zwei{k} trois{k}ß"
+        found = alignment.Aligned(pair, [text, common])
+        assert [found.ids_a.tolist(), found.ids_b.tolist()] == [[*x, *y] for x, y in zip(ids(text), ids(common), strict=True)]
+        assert found.digests() == [hashlib.sha256(said(t)).hexdigest() for t in (text, common)]
+        assert len(pair.known) <= 48
+    words = Counter(w for some in asked for w in some)
+    assert all(words[w] == 1 for w in common.split(" "))
+    monkeypatch.setattr(alignment, "LINKED", 0)
+    pair.looked_up(["one two"])
+    assert len(pair.known) == 2
+
+
+def said(text):
+    return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in brute_groups(text)).encode()
+
+
+@pytest.mark.parametrize("joined", [1, 20, 1 << 12])
+def test_pieces_that_do_not_come_back_spoil_only_their_texts(monkeypatch, joined):
+    pair = alignment.loaded()
+    pair.forget()
+    monkeypatch.setattr(alignment, "JOINED", joined)
+    texts = ["some words before", "a broken▁ one here", "▁", "", "größere Wörter danach", "a one here", "x" * 50 + " y"]
+    found = alignment.Aligned(pair, texts)
+    assert found.n_a.tolist() == [len(ids(t)[0]) for t in texts] and found.n_b.tolist() == [len(ids(t)[1]) for t in texts]
+    assert found.n_a[[1, 2, 3]].tolist() == [0, 0, 0] and found.n_a[[0, 4, 5, 6]].all()
+    assert found.digests() == [hashlib.sha256(said(t)).hexdigest() if k not in (1, 2, 3) else "" for k, t in enumerate(texts)]
+
+
+def test_large_groups_of_pieces_that_are_learnt_anew(monkeypatch):
+    pair = alignment.loaded()
+    text = "日本語 " * 40 + "1234567" * 9
+    want = [x.tolist() for x in alignment.Aligned(pair, [text, text[:50]]).pairs()]
+    pair.forget()
+    monkeypatch.setattr(alignment, "WIDE", 0)
+    assert [x.tolist() for x in alignment.Aligned(pair, [text, text[:50]]).pairs()] == want
+
+
 @pytest.mark.parametrize("hot", [1 << 20, 40, 0])
 def test_odd_rows(spark, hot):
     rows = list(enumerate(ODD)) + [(3, "a"), (None, "naïve Ünïcode"), (None, None), (50, "the same words " * 9), (51, "the same words " * 9)]
